@@ -1,0 +1,6 @@
+"""Queries over the reference's operators, and their SQL."""
+
+from __future__ import annotations
+
+QUERIES = {}
+SQL = {}
