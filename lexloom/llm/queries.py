@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexloom.llm import components, mixing, splitting, tokenizer
+from lexloom.llm import boilerplate, components, mixing, splitting, tokenizer
 from lexloom.sources.tables import table
 
 
@@ -30,6 +30,22 @@ def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _split(spark, folder)
 
 
+def _pages_and_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, folder, "pages"), table(spark, folder, "documents")
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.excess_occurrences(*_pages_and_documents(spark, folder))
+
+
+def p5_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.excess_report(*_pages_and_documents(spark, folder)).drop("g2")
+
+
+def p5_clean(spark: SparkSession, folder: str) -> DataFrame:
+    return boilerplate.without_excess(*_pages_and_documents(spark, folder))
+
+
 def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.token_ids(table(spark, folder, "documents"), "doc_id", "text")
 
@@ -44,5 +60,5 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p4_found, p4_pieces, p6_ids, p7_draws, p7_shares)
+    for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares)
 }
