@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexloom.llm import boilerplate, components, mixing, splitting, tokenizer
+from lexloom.llm import boilerplate, components, mixing, mojibake, splitting, tokenizer
 from lexloom.sources.tables import table
 
 
@@ -58,7 +58,15 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
+def p8_found(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.restored_texts(table(spark, folder, "documents")).select("doc_id")
+
+
+def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
+    return mojibake.restored_texts(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares)
+    for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p8_found, p8_restored)
 }
