@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lexloom.llm import boilerplate, components, markup, mixing, mojibake, splitting, tokenizer
+from lexloom.llm import boilerplate, components, markup, mixing, mojibake, scans, splitting, tokenizer
 from lexloom.sources.tables import table
 
 
@@ -27,6 +27,15 @@ def p2_clean(spark: SparkSession, folder: str) -> DataFrame:
     return markup.clean_pages(table(spark, folder, "pages"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    pages = scans.repaired_pages(table(spark, folder, "pages"))
+    return pages.select("document_id", "page", F.explode_outer("defects").alias("defect")).filter("defect is not null").distinct()
+
+
+def p3_text(spark: SparkSession, folder: str) -> DataFrame:
+    return scans.repaired_pages(table(spark, folder, "pages"))
+
+
 def _split(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_oversized(*(table(spark, folder, t) for t in ("documents", "pages", "structure", "split_limits")))
 
@@ -77,5 +86,5 @@ def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p2_found, p2_clean, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p8_found, p8_restored)
+    for f in (p1_found, p1_groups, p2_found, p2_clean, p3_found, p3_text, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p8_found, p8_restored)
 }
