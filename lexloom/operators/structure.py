@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexloom.functions.numbers import legal_number
+from lexloom.functions.text import count_of
 from lexloom.operators.lines import with_offsets
 
 _NUMBER = "(premier|première|unique|[0-9]{1,4}(?:er|ère|º|°)?(?:[-.][0-9]{1,3})?(?:\\s+(?:bis|ter|quater|quinquies))?|[IVXLC]{1,7})"
@@ -54,8 +55,8 @@ def is_stop(line: Column) -> Column:
 
 
 def upper_line(line: Column) -> Column:
-    letters = F.regexp_count(line, F.lit("\\p{L}"))
-    return F.when(letters > 0, F.regexp_count(line, F.lit("\\p{Lu}")) / letters >= 0.85).otherwise(False)
+    letters = count_of(line, "\\p{L}")
+    return F.when(letters > 0, count_of(line, "\\p{Lu}") / letters >= 0.85).otherwise(False)
 
 
 def heading(line: Column, rules: tuple[Rule, ...] = RULES) -> Column:
@@ -120,7 +121,7 @@ def articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     numbered = numbered.withColumn("base", base).withColumn("k", F.row_number().over(Window.partitionBy("document_id", "base").orderBy("unit")))
     return numbered.select(
         "document_id", F.when(F.col("k") > 1, F.concat_ws("_", "base", "k")).otherwise(F.col("base")).alias("article_id"),
-        "position", "number", legal_number(F.col("number")).alias("value"), "page", F.trim("text").alias("text"),
+        "position", "number", legal_number(F.col("number")).alias("value"), "page", F.regexp_replace("text", "^\\s+|\\s+$", "").alias("text"),
     )
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexloom.functions.text import SPACE_VARIANTS
@@ -19,8 +21,8 @@ select document_id, duplicate_of, 'text_hash' as kind, cast(1.0 as double) as si
 def exact_text_duplicates(documents: DataFrame) -> DataFrame:
     from lexloom.functions.text import hash_form
 
-    form = hash_form(F.col("text"))
-    links = dedup.exact_links(documents, "document_id", F.when(form != "", F.sha2(form, 256)))
+    content = F.nullif(F.sha2(hash_form(F.col("text")), 256), F.lit(hashlib.sha256(b"").hexdigest()))
+    links = dedup.exact_links(documents, "document_id", content)
     return links.withColumn("kind", F.lit("text_hash")).withColumn("similarity", F.lit(1.0))
 
 

@@ -1 +1,203 @@
-"""later"""
+"""Headings, articles, citations, fields of acts, numbering, review."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from lexloom.functions import numbers as N
+from lexloom.operators import citations as C, metadata as M, review as R, structure as S
+from lexloom.queries.catalogue import query
+
+
+@query("structure", sql="""
+with r as (select distinct node_id, upper(trim(number)) as t from structure where number is not null),
+d as (select node_id, t, regexp_matches(t, '^M{0,3}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$') and t <> '' as ok,
+  list_transform(string_split(t, ''), lambda c: case c when 'I' then 1 when 'V' then 5 when 'X' then 10 when 'L' then 50 when 'C' then 100 when 'D' then 500 when 'M' then 1000 end) as v from r)
+select node_id, case when ok then cast(list_sum(list_transform(range(1, len(v) + 1), lambda i: case when i < len(v) and v[i] < v[i + 1] then -v[i] else v[i] end)) as int) end as value from d""")
+def roman_numbers(structure: DataFrame) -> DataFrame:
+    return structure.filter("number is not null").select("node_id", N.roman_value(F.col("number")).alias("value")).distinct()
+
+
+@query("metadata", sql="""
+with n as (select document_id, number, trim(regexp_replace(number, '(?i)^\\s*\\bn[°ºo]*\\s*', '')) as b from metadata where number is not null),
+k as (select document_id, number, regexp_extract(b, '^([0-9]{2,4})\\s*[-–/_.]\\s*([0-9]{1,4})', 1) as y, regexp_extract(b, '^([0-9]{2,4})\\s*[-–/_.]\\s*([0-9]{1,4})', 2) as s from n)
+select document_id, number, case when length(y) = 4 then cast(y as int) when length(y) = 2 and cast(y as int) >= 60 then 1900 + cast(y as int) end as year,
+  case when length(y) = 4 or (length(y) = 2 and cast(y as int) >= 60) then cast(s as int) end as serial from k""")
+def official_numbers(meta: DataFrame) -> DataFrame:
+    rows = meta.filter("number is not null").select("document_id", "number", N.official_key(F.col("number")).alias("k"))
+    return rows.select("document_id", "number", "k.year", "k.serial")
+
+
+@query("documents")
+def heading_lines(documents: DataFrame) -> DataFrame:
+    """Headings before the closing formula; the rule patterns' priorities have no counterpart in SQL worth the name."""
+    return S.headings(_as_pages(documents), "text")
+
+
+@query("documents")
+def heading_tree(documents: DataFrame) -> DataFrame:
+    return S.tree(S.headings(_as_pages(documents), "text"))
+
+
+@query("documents")
+def articles(documents: DataFrame) -> DataFrame:
+    return S.articles(_as_pages(documents), "text")
+
+
+@query("documents")
+def article_gaps(documents: DataFrame) -> DataFrame:
+    return S.numbering_gaps(S.articles(_as_pages(documents), "text"), ["document_id"], "position", "value")
+
+
+@query("documents")
+def paragraphs(documents: DataFrame) -> DataFrame:
+    return S.paragraphs(documents.filter("text is not null"), "doc_id", "text")
+
+
+def _as_pages(documents: DataFrame) -> DataFrame:
+    return documents.filter("text is not null").select("document_id", F.lit(1).alias("page"), F.regexp_replace("text", "\\r\\n?", "\n").alias("text"))
+
+
+@query("lineitem", sql="""
+with s as (select l_orderkey, l_partkey, l_linenumber, l_suppkey, lag(l_suppkey) over (partition by l_orderkey order by l_linenumber, l_suppkey, l_partkey) as before from lineitem)
+select l_orderkey, l_linenumber, before, l_suppkey as after, case when l_suppkey - before <= 0 then 'order' else 'missing' end as problem from s
+where before is not null and (l_suppkey - before <= 0 or l_suppkey - before > 1)""")
+def numbering_gaps(lineitem: DataFrame) -> DataFrame:
+    rows = lineitem.withColumn("at", F.struct("l_linenumber", "l_suppkey", "l_partkey"))
+    return S.numbering_gaps(rows, ["l_orderkey"], "at", "l_suppkey").withColumn("l_linenumber", F.col("at.l_linenumber")).drop("at")
+
+
+_CITED = """
+with p as (select distinct document_id, page, text from pages where text is not null),
+f as (
+  select document_id, page, 'cite' as relation, unnest(regexp_extract_all(text, '(?i)\\bvu\\s+(?:la\\s+|le\\s+|l[''’])?((?:loi|d[ée]cret|arr[êe]t[ée]|ordonnance)\\s+n[°º]?\\s*[0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})', 1)) as target from p
+  union all select document_id, page, 'modifie', unnest(regexp_extract_all(text, '(?i)\\bmodifi(?:e|ant)\\s+(?:la\\s+|le\\s+|l[''’])?((?:loi|d[ée]cret|arr[êe]t[ée]|ordonnance)\\s+n[°º]?\\s*[0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})', 1)) from p
+  union all select document_id, page, 'abroge', unnest(regexp_extract_all(text, '(?i)\\babrog(?:e|eant)\\s+(?:la\\s+|le\\s+|l[''’])?((?:loi|d[ée]cret|arr[êe]t[ée]|ordonnance)\\s+n[°º]?\\s*[0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})', 1)) from p
+  union all select document_id, page, 'remplace', unnest(regexp_extract_all(text, '(?i)\\bremplac(?:e|ant)\\s+(?:la\\s+|le\\s+|l[''’])?((?:loi|d[ée]cret|arr[êe]t[ée]|ordonnance)\\s+n[°º]?\\s*[0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})', 1)) from p),
+c as (select document_id, relation, arg_min(target, (page, target)) as target_reference, min(page) as page from f group by document_id, relation, lower(target)),
+k as (select *, translate(lower(regexp_extract(target_reference, '(?i)^(loi|d[ée]cret|arr[êe]t[ée]|ordonnance)', 1)), 'éê', 'ee') as kind,
+  regexp_replace(regexp_extract(target_reference, '([0-9]{2,4})\\s*[-–]\\s*([0-9]{1,4})', 1), '\\s', '', 'g') as y, regexp_extract(target_reference, '([0-9]{2,4})\\s*[-–]\\s*([0-9]{1,4})', 2) as s from c),
+r as (select document_id, relation, target_reference, kind, y || '-' || case when length(s) < 3 then lpad(s, 3, '0') else s end as number, page from k)
+"""
+
+
+@query("pages", sql=_CITED + "select * from r")
+def citations(pages: DataFrame) -> DataFrame:
+    return C.citations(pages.filter("text is not null").select("document_id", "page", "text").distinct())
+
+
+def _claims(meta: DataFrame) -> DataFrame:
+    rows = meta.filter("number is not null and type is not null and type <> 'inconnu'")
+    serial = F.substring_index("number", "-", -1)
+    number = F.concat_ws("-", F.substring_index("number", "-", 1), F.when(F.length(serial) < 3, F.lpad(serial, 3, "0")).otherwise(serial))
+    url = F.coalesce(F.contains("source_url", F.replace("number", F.lit(" "), F.lit(""))).cast("int"), F.lit(0))
+    return rows.select(F.col("type").alias("kind"), number.alias("number"), "document_id", url.alias("strength"))
+
+
+@query("pages", "metadata", sql=_CITED + """,
+m as (select type as kind, string_split(number, '-')[1] || '-' || case when length(string_split(number, '-')[-1]) < 3 then lpad(string_split(number, '-')[-1], 3, '0') else string_split(number, '-')[-1] end as number,
+  document_id, case when contains(coalesce(source_url, ''), replace(number, ' ', '')) then 1 else 0 end as strength from metadata where number is not null and type is not null and type <> 'inconnu'),
+t as (select kind, number, max(strength) as strength from m group by all),
+i as (select kind, number, min(document_id) as lo, max(document_id) as hi from m join t using (kind, number, strength) group by kind, number),
+j as (select r.*, case when lo = hi then lo end as t, lo <> hi as ambiguous, case when r.kind is null then 0.35 when relation = 'cite' then 0.6 else 0.8 end as base from r left join i using (kind, number)),
+o as (select *, case when t = document_id then 'self' when t is not null then 'resolved' when ambiguous then 'ambiguous' else 'unresolved' end as outcome from j)
+select document_id, relation, target_reference, kind, number, page, case when outcome = 'resolved' then t end as target, outcome,
+  round(case outcome when 'resolved' then least(base + 0.15, 0.99) when 'self' then 0.2 when 'ambiguous' then 0.35 else base end, 2) as confidence,
+  outcome <> 'resolved' or round(least(base + 0.15, 0.99), 2) < 0.8 as needs_review from o""")
+def resolved_citations(pages: DataFrame, meta: DataFrame) -> DataFrame:
+    found = C.citations(pages.filter("text is not null").select("document_id", "page", "text").distinct())
+    return C.resolve(found, C.reference_index(_claims(meta)))
+
+
+@query("pages", "metadata")
+def induced_states(pages: DataFrame, meta: DataFrame) -> DataFrame:
+    """State of each cited act from the strongest resolved relation."""
+    found = C.resolve(C.citations(pages.filter("text is not null").select("document_id", "page", "text").distinct()), C.reference_index(_claims(meta)))
+    state = F.when(F.col("relation") == "abroge", "abroge").when(F.col("relation") == "remplace", "remplace").when(F.col("relation") == "modifie", "modifie")
+    edges = found.filter("outcome = 'resolved'").withColumn("state", state).filter("state is not null")
+    return C.strongest(edges.select("target", "state", "confidence"), "target", "state", "confidence")
+
+
+@query("metadata", "documents", sql="""
+with p as (select m.document_id, m.date, m.number, lower(translate(substr(d.text, 1, 300), 'éûôÉÛ', 'euoEU')) as t from metadata m join documents d using (document_id) where d.text is not null),
+x as (select document_id, date, regexp_extract(t, '\\b([0-9]{1,2})(?:er)?\\s+(janvier|fevrier|mars|avril|mai|juin|juillet|aout|septembre|octobre|novembre|decembre)\\s+([0-9]{4})\\b', ['d', 'm', 'y']) as r from p)
+select document_id, date, case when r.m <> '' and try_cast(r.d as int) between 1 and 31 then r.y || '-' || lpad(cast(list_position(['janvier','fevrier','mars','avril','mai','juin','juillet','aout','septembre','octobre','novembre','decembre'], r.m) as varchar), 2, '0') || '-' || lpad(r.d, 2, '0') end as read from x""")
+def heading_dates(meta: DataFrame, documents: DataFrame) -> DataFrame:
+    texts = documents.filter("text is not null").select("document_id", N.written_date(F.substring("text", 1, 300)).alias("read"))
+    return meta.select("document_id", "date").join(texts, "document_id")
+
+
+@query("documents")
+def act_fields(documents: DataFrame) -> DataFrame:
+    """Kind, number and date with confidence and evidence."""
+    rows = documents.filter("text is not null").select(
+        "document_id",
+        M.act_type(F.col("text"), F.col("category"), F.col("document_id")).alias("type"),
+        M.act_number(F.col("text")).alias("number"),
+        M.act_date(F.col("text")).alias("date"),
+    )
+    fields = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("f")) for f in ("type", "number", "date")]))
+    return rows.select("document_id", fields.alias("x")).select("document_id", "x.field", "x.f.*").filter("value is not null")
+
+
+@query("metadata", sql="""
+with m as (select document_id, list_filter([case when title is null or trim(title) in ('', 'inconnu') then 'title' end, case when type is null or trim(type) in ('', 'inconnu') then 'type' end,
+  case when number is null or trim(number) in ('', 'inconnu') then 'number' end, case when date is null or trim(date) in ('', 'inconnu') then 'date' end, case when authority is null or trim(authority) in ('', 'inconnu') then 'authority' end,
+  case when language is null or trim(language) in ('', 'inconnu') then 'language' end, case when source is null or trim(source) in ('', 'inconnu') then 'source' end], lambda x: x is not null) as missing from metadata)
+select document_id, missing, round((7 - len(missing)) / 7.0, 4) as completeness from m""")
+def completeness(meta: DataFrame) -> DataFrame:
+    return M.completeness(meta).select("document_id", "missing", "completeness")
+
+
+@query("metadata", "documents")
+def reconciled_fields(meta: DataFrame, documents: DataFrame) -> DataFrame:
+    """Fields read from the text against those of the metadata table."""
+    read = documents.filter("text is not null").select(
+        "document_id", M.act_type(F.col("text"), F.col("category"), F.col("document_id"))["value"].alias("type"),
+        M.act_number(F.col("text"))["value"].alias("number"), M.act_date(F.col("text"))["value"].alias("date"),
+    )
+    return M.reconcile(read, meta, "document_id", ("type", "number", "date"))
+
+
+@query("metadata", sql="""
+with x as (select document_id, try_cast(substr(number, 1, 4) as int) as ny, try_cast(substr(date, 1, 4) as int) as dy, try_cast(substr(date, 6, 2) as int) as dm from metadata where number is not null and date is not null)
+select document_id, ny, dy from x where ny is not null and dy is not null and ny <> dy and not (abs(ny - dy) = 1 and dm in (1, 2, 11, 12))""")
+def number_date_conflicts(meta: DataFrame) -> DataFrame:
+    year = lambda c: F.expr(f"try_cast(substring({c}, 1, 4) as int)")
+    rows = meta.filter("number is not null and date is not null").select("document_id", year("number").alias("ny"), year("date").alias("dy"), F.expr("try_cast(substring(date, 6, 2) as int)").alias("dm"))
+    near = (F.abs(F.col("ny") - F.col("dy")) == 1) & F.coalesce(F.col("dm").isin(1, 2, 11, 12), F.lit(False))
+    return rows.filter((F.col("ny") != F.col("dy")) & ~near).select("document_id", "ny", "dy")
+
+
+@query("structure", sql="""
+with s as (select distinct document_id, node_id, char_start from structure where char_start is not null)
+select document_id, node_id, lag(node_id) over (partition by document_id order by char_start, node_id) as previous, lead(node_id) over (partition by document_id order by char_start, node_id) as following from s""")
+def neighbouring_units(structure: DataFrame) -> DataFrame:
+    rows = structure.filter("char_start is not null").select("document_id", "node_id", "char_start").distinct().withColumn("o", F.struct("char_start", "node_id"))
+    return R.neighbours(rows, "document_id", "o", "node_id").select("document_id", "node_id", "previous", "following")
+
+
+@query("structure", sql="""
+with recursive s as (select node_id, any_value(parent_id) as parent_id, any_value(level) as level from structure group by node_id),
+t as (select node_id, node_id as top, 0 as depth from s where parent_id is null or parent_id not in (select node_id from s)
+      union all select s.node_id, t.top, t.depth + 1 from s join t on s.parent_id = t.node_id where t.depth < 12)
+select node_id, top, depth from t""")
+def tree_roots(structure: DataFrame) -> DataFrame:
+    """Topmost unit and depth of each unit, by pointer doubling instead of one join per level."""
+    nodes = structure.groupBy("node_id").agg(F.first("parent_id", True).alias("parent_id"))
+    have = nodes.select(F.col("node_id").alias("parent_id"), F.lit(True).alias("have"))
+    up = nodes.join(have, "parent_id", "left").select("node_id", F.when(F.col("have"), F.col("parent_id")).otherwise(F.col("node_id")).alias("top"))
+    up = up.withColumn("depth", (F.col("top") != F.col("node_id")).cast("int"))
+    for _ in range(4):
+        jump = up.select(F.col("node_id").alias("top"), F.col("top").alias("next"), F.col("depth").alias("more"))
+        up = up.join(jump, "top").select("node_id", F.col("next").alias("top"), (F.col("depth") + F.col("more")).alias("depth"))
+    return up
+
+
+@query("documents", sql="""
+with c as (select document_id, 'Article 2' as before, 'Article 2 nouveau' as after, 0.9 as confidence from documents where text is not null),
+x as (select c.*, (length(d.text) - length(replace(d.text, before, ''))) / length(before) as n from c join documents d using (document_id))
+select document_id, case when n <> 1 then 'passage' when 8.0 / 9 > 0.5 then 'length' end as refusal from x""")
+def checked_corrections(documents: DataFrame) -> DataFrame:
+    wanted = documents.filter("text is not null").select("document_id", F.lit("Article 2").alias("before"), F.lit("Article 2 nouveau").alias("after"), F.lit(0.9).alias("confidence"))
+    return R.verified(wanted, documents, "document_id", "text").select("document_id", "refusal")
