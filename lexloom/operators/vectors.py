@@ -63,7 +63,8 @@ def _scorer(names: list, matrix: np.ndarray, k: int, metric: str):
             # All that tie with the k-th stay, so that the final order is the same for every partitioning.
             kth = np.partition(order, min(k, order.shape[1]) - 1, axis=1)[:, min(k, order.shape[1]) - 1]
             q, j = np.nonzero((order <= kth[:, None]) & np.isfinite(order))
-            columns = [pa.array(own[q].tolist()), pa.array(ids[j].tolist()), pa.array(score[q, j])]
+            kind = batch.column(0).type
+            columns = [pa.array(own[q].tolist(), kind), pa.array(ids[j].tolist(), kind), pa.array(score[q, j])]
             yield pa.RecordBatch.from_arrays(columns, names=["query_id", batch.schema.names[0], "score"])
 
     return run

@@ -13,6 +13,12 @@ def inventory(spark: SparkSession, root: str, extensions: tuple[str, ...], folde
     glob = "*.{" + ",".join(e.lstrip(".") for e in extensions) + "}"
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     name = F.element_at(F.split("path", "/"), -1)
+    # The scan passes over empty files; their paths are known to it, and they become rows with an error.
+    same = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")
+    listed = spark.createDataFrame([(p,) for p in files.inputFiles()], "path string").select(same.alias("path"))
+    listed = listed.join(files.select(same.alias("path")), "path", "left_anti")
+    empty = listed.select("path", F.lit(None).cast("timestamp").alias("modificationTime"), F.lit(0).cast("bigint").alias("length"), F.lit(b"").alias("content"))
+    files = files.unionByName(empty)
     files = files.withColumn("filename", name).filter(~F.col("filename").isin(*IGNORED) & ~F.startswith("filename", F.lit("~$")))
     return files.select(
         F.col("path").alias("source_path"), "filename", F.lower(F.regexp_extract("filename", "(\\.[^.]+)$", 1)).alias("extension"),
