@@ -173,7 +173,8 @@ def from_latex(text: str, shelf: _Shelf) -> str:
         if text == before:
             break
     text = re.sub(r"(?m)^[ \t]*\\item\b[ \t]*(?:\[([^\]\n]*)\])?[ \t]*", lambda m: ITEM + (m[1] + " " if m[1] else ""), text)
-    text = re.sub(r"\\(og|fg)(?:\{\}|[ \t])?", lambda m: "« " if m[1] == "og" else " »", text)
+    text = re.sub(r"(?:(?<=\S)[ \t]+(?=\\fg))?\\(og|fg)(?:\{\}[ \t]*|[ \t]+)?", lambda m: "« " if m[1] == "og" else " » ", text)
+    text = re.sub(r"(?m) »[ ](?=[ ,.;:)]|$)", " »", text)
     text = re.sub(r"\\\\(?:\[[^\]\n]*\])?[ \t]*$", "", text, flags=re.M)
     text = re.sub(r"(?<![\w:])\\\\(?!\w)", "\n", text)
     text = re.sub(r"\\(?:begin|end)\s*\{[^\n]*$", "", text, flags=re.M)
