@@ -30,8 +30,9 @@ def canonical(text: Column) -> Column:
 
 
 def line_places(pages: DataFrame, documents: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(source, document_id, h1, h2, places): one row per document and different line of ``min_chars`` or
-    more; the line is held by two independent 64-bit hashes, places are (page, line_no)."""
+    """(source, document_id, page, line_no, h1, h2): one row per line of ``min_chars`` or more; the canonical line is
+    held by two independent 64-bit hashes. No row gathers others, so neither a document nor a source can be too
+    large."""
     owner = documents.filter("source is not null and document_id is not null").groupBy("document_id").agg(F.min("source").alias("source"))
     texts = pages.filter("raw_text is not null and document_id is not null").select("document_id", "page", "raw_text")
     lines = texts.join(owner, "document_id").select(
@@ -39,11 +40,10 @@ def line_places(pages: DataFrame, documents: DataFrame, min_chars: int = MIN_CHA
     )
     line = F.trim("line")
     lines = lines.select(
-        "source", "document_id", (F.struct("page", (F.col("line_no") + 1).alias("line_no"))).alias("place"),
+        "source", "document_id", "page", (F.col("line_no") + 1).alias("line_no"),
         F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(41), F.reverse(line)).alias("h2"), F.length(line).alias("n"),
     )
-    lines = lines.filter(F.col("n") >= min_chars)
-    return lines.groupBy("source", "document_id", "h1", "h2").agg(F.collect_set("place").alias("places"))
+    return lines.filter(F.col("n") >= min_chars).drop("n")
 
 
 def _log_erfc(x: Column) -> Column:
@@ -76,7 +76,8 @@ def excess_lines(
 ) -> DataFrame:
     """(source, h1, h2, docs, source_docs, g2): lines significantly in excess in their source and within
     the stated share. ``places`` as of line_places, ``sizes(source, n)`` the sources' documents."""
-    counts = places.groupBy("source", "h1", "h2").agg(F.count(F.lit(1)).alias("k")).join(sizes, "source")
+    once = places.select("source", "h1", "h2", "document_id").distinct()
+    counts = once.groupBy("source", "h1", "h2").agg(F.count(F.lit(1)).alias("k")).join(sizes, "source")
     high = (F.col("k") >= min_docs) & (F.col("k") >= F.col("n") * min_share)
     # One row per line: what it amounts to in the sources where it isn't high, and its frequent sources.
     by_line = counts.groupBy("h1", "h2").agg(
@@ -124,17 +125,16 @@ def excess_occurrences(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """
     places, excess = _analysed(pages, documents)
     hit = places.join(excess.select("source", "h1", "h2"), ["source", "h1", "h2"], "left_semi")
-    hit = hit.select("document_id", F.explode_outer("places").alias("p"))
-    return hit.select("document_id", "p.page", "p.line_no")
+    return hit.select("document_id", "page", "line_no").distinct()
 
 
 def excess_report(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(source, line, docs, source_docs, g2): the excessive lines of each source in their canonical form."""
     places, excess = _analysed(pages, documents)
     hit = places.join(excess, ["source", "h1", "h2"])
-    sample = F.min(F.struct("document_id", F.array_min("places").alias("p")))
+    sample = F.min(F.struct("document_id", "page", "line_no"))
     hit = hit.groupBy("source", "h1", "h2", "docs", "source_docs", "g2").agg(sample.alias("s"))
-    hit = hit.select("source", "docs", "source_docs", "g2", "s.document_id", "s.p.page", "s.p.line_no")
+    hit = hit.select("source", "docs", "source_docs", "g2", "s.document_id", "s.page", "s.line_no")
     texts = pages.select("document_id", "page", "raw_text").filter("raw_text is not null")
     joined = hit.join(texts, ["document_id", "page"]).withColumn("line", F.trim(F.element_at(canonical(F.col("raw_text")), F.col("line_no"))))
     return joined.select("source", "line", "docs", "source_docs", "g2").distinct()
