@@ -121,7 +121,7 @@ def repaired_keywords(text: Column) -> Column:
     confused = {"t": "tlf1Ii", "i": "il1I|tj", "l": "l1I|t", "c": "ceo(", "e": "ec3", "r": "rnt", "a": "ao", "p": "p", "h": "hb", "s": "s5", "o": "o0c", "n": "nm", "A": "A4", "x": "x"}
     for keyword in ("Article", "Chapitre", "Section", "Titre", "Annexe"):
         for form in (keyword, keyword.upper()):
-            letters = [confused.get(c.lower(), c) + (confused.get(c.lower(), c).upper() if c.isupper() else "") for c in form[1:]]
+            letters = [confused.get(c, c) if c.islower() else confused.get(c.lower(), c).upper() + ("l" if c in "ILT" else "") for c in form[1:]]
             classes = form[0] + "".join(f"[{''.join(sorted(set(x) | {c}))}]".replace("|", "\\|") for x, c in zip(letters, form[1:]))
             text = F.regexp_replace(text, f"(?m)(?<![\\p{{L}}\\p{{N}}]){classes}(?=\\s*[0-9IVX]|\\s+premier)", form)
     text = F.regexp_replace(text, "(?<=[0-9])[OoQ](?=[0-9])", "0")
