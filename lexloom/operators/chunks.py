@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+# Where a sentence ends, and how far a whole text may exceed the limit.
 SENTENCE_END = "(?<=[.;:!?])\\s+(?=[A-ZÀ-Ü0-9«\"(-])"
 TOLERANCE = 1.2
 
@@ -55,3 +56,25 @@ def fixed(df: DataFrame, key: str, text: str, size: int, overlap: int) -> DataFr
     rows = df.filter(F.length(text) > 0).select(key, F.col(text).alias("_t"), F.explode(F.sequence(F.lit(0), n - 1)).alias("position"))
     begin = F.col("position") * step
     return rows.select(key, "position", begin.alias("begin"), F.substring(F.col("_t"), begin + 1, F.lit(size)).alias("text"))
+
+
+def article_chunks(articles: DataFrame, strategy: str = "article", most: int = 1500, overlap: int = 150) -> DataFrame:
+    """(chunk_id, document_id, article_id, position, text, strategy) of articles(document_id, article_id, text).
+
+    ``article`` keeps what fits and packs the sentences of the rest, ``paragraph`` makes one chunk of each numbered or
+    blank-parted block, ``fixed`` cuts windows. Positions count within the document, in the order of the ids."""
+    from lexloom.operators.structure import paragraphs
+
+    if strategy == "article":
+        parts = chunked(articles, "article_id", "text", most, overlap).select("article_id", F.col("position").alias("_i"), "text")
+    elif strategy == "paragraph":
+        parts = paragraphs(articles, "article_id").select("article_id", F.col("idx").alias("_i"), "text")
+    elif strategy == "fixed":
+        parts = fixed(articles, "article_id", "text", most, overlap).select("article_id", F.col("position").alias("_i"), "text")
+    else:
+        raise ValueError("strategy is article, paragraph or fixed")
+    rows = parts.join(articles.select("document_id", "article_id"), "article_id")
+    position = F.row_number().over(Window.partitionBy("document_id").orderBy("article_id", "_i")) - 1
+    rows = rows.withColumn("position", position)
+    chunk_id = F.concat("article_id", F.lit("_chunk_"), F.lpad(F.col("_i").cast("string"), 3, "0"))
+    return rows.select(chunk_id.alias("chunk_id"), "document_id", "article_id", "position", "text", F.lit(strategy).alias("strategy"))

@@ -81,3 +81,18 @@ def covering(points: DataFrame, ranges: DataFrame, key: str, at: str, first: str
     r = ranges.select(key, F.col(first).alias("_f"), F.col(last).alias("_l"), F.col(item).alias("_i"), F.col(order).alias("_o"))
     hit = points.join(r, (points[key] == r[key]) & points[at].between(F.col("_f"), F.col("_l")), "left").drop(r[key])
     return hit.groupBy(*points.columns).agg(F.max(F.struct("_o", "_i")).alias("m")).select(*points.columns, F.col("m._i").alias(item))
+
+
+def touching(edges: DataFrame, source: str, target: str, document: str) -> DataFrame:
+    """Edges with the document at either end."""
+    return edges.filter((F.col(source) == document) | (F.col(target) == document))
+
+
+def excerpt(text: Column, begin: Column, end: Column, window: int = 120) -> Column:
+    """The passage [begin, end) with ``window`` characters on either side, white space collapsed."""
+    left = F.greatest(begin - window, F.lit(0))
+    return F.trim(F.regexp_replace(F.substring(text, left + 1, end + window - left), "\\s+", " "))
+
+
+def unresolved(relations: DataFrame) -> DataFrame:
+    return relations.filter("needs_review").orderBy("confidence", "document_id", "target_reference")

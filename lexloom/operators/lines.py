@@ -81,3 +81,17 @@ def document_text(pages: DataFrame, text: str = "text") -> DataFrame:
     """(document_id, text): the pages' texts in order, joined by line feeds; null texts count as empty."""
     parts = F.array_sort(F.collect_list(F.struct("page", F.coalesce(text, F.lit("")).alias("t"))))
     return pages.groupBy("document_id").agg(F.array_join(F.transform(parts, lambda p: p["t"]), "\n").alias("text"))
+
+
+def cleaning_report(before: DataFrame, after: DataFrame, text: str) -> DataFrame:
+    """(document_id, pages, chars_before, chars_after, removed_lines, ratio, emptied, warning): what cleaning took from
+    each document; more than a quarter, or a page emptied, is worth a warning."""
+    b = before.select("document_id", "page", F.length(F.coalesce(text, F.lit(""))).alias("b"))
+    joined = b.join(after.select("document_id", "page", F.length("text").alias("a"), "removed"), ["document_id", "page"])
+    per = joined.groupBy("document_id").agg(
+        F.count(F.lit(1)).alias("pages"), F.sum("b").alias("chars_before"), F.sum("a").alias("chars_after"), F.sum("removed").alias("removed_lines"),
+        F.sum(((F.col("b") > 0) & (F.col("a") == 0)).cast("int")).alias("emptied"),
+    )
+    ratio = F.when(F.col("chars_before") > 0, F.greatest(F.lit(0.0), 1 - F.col("chars_after") / F.col("chars_before"))).otherwise(0.0)
+    warning = F.when(F.col("ratio") > 0.25, "much removed").when(F.col("emptied") > 0, "page emptied")
+    return per.withColumn("ratio", F.round(ratio, 4)).withColumn("warning", warning)

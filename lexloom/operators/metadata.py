@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from lexloom.functions.numbers import same_number, written_date
+from lexloom.functions.numbers import MONTHS, lookup, same_number, written_date
 from lexloom.functions.text import fold
 
 # Kinds of acts, the words that announce them, and the fields that make an act complete.
@@ -31,12 +31,11 @@ def act_type(text: Column, category: Column, name: Column) -> Column:
     places = [F.when(F.regexp_instr(plain, F.lit(p)) > 0, F.struct(F.regexp_instr(plain, F.lit(p)).alias("at"), F.lit(t).alias("t"))) for t, p in TYPE_WORDS.items()]
     read = F.least(*places)["t"]
     prefix = F.substring_index(name, "_", 1)
-    known = [F.lit(t) for t in TYPE_WORDS]
     return first_field(
         field(read, 0.90, F.lit("text")),
         field(F.when(category.isin(*TYPE_WORDS), category), 0.45, F.lit("category")),
         field(F.when(prefix.isin(*TYPE_WORDS), prefix), 0.35, F.lit("name")),
-    ) if known else F.lit(None)
+    )
 
 
 def act_number(text: Column) -> Column:
@@ -123,3 +122,35 @@ def sequential_ids(df: DataFrame, name: Column, content: Column, *order: Column)
     rows = rows.withColumn("_k", F.row_number().over(Window.partitionBy("_c", F.col("_i") > 1).orderBy(*order)))
     new = F.when(F.col("_i") == 1, F.col("_base")).when(F.col("_k") == 1, F.col("_c")).otherwise(F.concat_ws("_", "_c", F.col("_k").cast("string")))
     return rows.withColumn("new_id", new).drop("_base", "_i", "_c", "_k")
+
+
+def authority(text: Column, kind: Column, patterns: dict[str, str], by_kind: dict[str, str]) -> Column:
+    """Issuing authority read from the text (0.80), else the one that issues acts of the kind (0.75)."""
+    read = [field(F.when(fold(F.substring(text, 1, 3000)).rlike(p), F.lit(name)), 0.80, F.lit("text")) for name, p in patterns.items()]
+    return first_field(*read, field(lookup(kind, by_kind), 0.75, F.lit("kind")))
+
+
+def date_seen(text: Column, date: Column, zone: int = 1500) -> Column:
+    """Whether a date stands in the head or signature zone, the month read with as many wrong letters as its length
+    allows (none up to 4, one up to 7, else two) provided that no other month is as close."""
+    t = fold(F.concat(F.substring(text, 1, zone), F.lit("\n"), F.substring(text, -zone, zone)))
+    written = F.regexp_extract_all(t, F.lit("([0-9]{1,2}(?:er)?\\s+[a-z0-9|]{3,10}\\s+[0-9]{4})"), F.lit(1))
+    months = F.array(*map(F.lit, MONTHS))
+    target = F.get(months, F.substring(date, 6, 2).try_cast("int") - 1)
+
+    def same(found: Column) -> Column:
+        day = F.regexp_extract(found, "^([0-9]{1,2})", 1).try_cast("int") == F.substring(date, 9, 2).try_cast("int")
+        year = F.substring(found, -4, 4) == F.substring(date, 1, 4)
+        month = F.regexp_extract(found, "\\s([a-z0-9|]{3,10})\\s", 1)
+        away = F.levenshtein(month, target)
+        others = F.array_min(F.transform(F.filter(months, lambda m: m != target), lambda m: F.levenshtein(month, m)))
+        allowed = F.when(F.length(target) <= 4, 0).when(F.length(target) <= 7, 1).otherwise(2)
+        return day & year & (away <= allowed) & (away < others)
+
+    return F.coalesce(F.exists(written, same), F.lit(False))
+
+
+def third_witness(read: Column, listed: Column, text: Column) -> Column:
+    """Which of two dates the text supports: read, listed, both or neither."""
+    a, b = date_seen(text, read), date_seen(text, listed)
+    return F.when(a & b, "both").when(a, "read").when(b, "listed").otherwise("neither")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lexloom.functions.numbers import KINDS, bound, official_key, same_number
 from lexloom.functions.text import fold
 
+# The earliest year of an act, and the words that open citations, objects and articles.
 EARLIEST = 1850
 _ADDRESS = "(?i)/(?:doc/)?([a-z]+)[-_/](?:n-)?([0-9]{2,4}\\s*[-–—_]\\s*[0-9]{1,4}(?:[-_](?:bis|ter|quater)[0-9]*)?)/?$"
 CITATION_LINE = "(?i)^\\s*(?:vu\\b|consid[ée]rant\\b|sur\\s+rapport\\b|apr[èe]s\\s+avis\\b)"

@@ -144,3 +144,30 @@ def numbering_gaps(items: DataFrame, scope: list[str], order: str, value: str) -
     rows = items.filter(F.col(value).isNotNull()).withColumn("before", F.lag(value).over(w)).withColumn("gap", F.col(value) - F.col("before"))
     problem = F.when(F.col("gap") <= 0, "order").when((F.col("gap") > 1) & (F.col("gap") == F.floor("gap")), "missing")
     return rows.withColumn("problem", problem).filter("problem is not null").select(*scope, order, "before", F.col(value).alias("after"), "problem")
+
+
+#: Rule sets by jurisdiction; a plug-in adds its own with ``register_rules``.
+RULESETS: dict[str, tuple[Rule, ...]] = {"generic": RULES}
+
+
+def register_rules(name: str, rules: tuple[Rule, ...], extend: str | None = "generic") -> None:
+    RULESETS[name] = (*rules, *(RULESETS[extend] if extend else ()))
+
+
+def rules_for(name: str) -> tuple[Rule, ...]:
+    """The rules of a jurisdiction, the generic ones if it is unknown."""
+    return RULESETS.get(name, RULES)
+
+
+def rules_from(config: list[dict]) -> tuple[Rule, ...]:
+    """Rules from configuration entries with the fields of Rule; a level that doesn't exist is an error."""
+    rules = tuple(Rule(**entry) for entry in config)
+    if unknown := {r.level for r in rules} - set(LEVELS):
+        raise ValueError(f"unknown levels: {sorted(unknown)}")
+    return rules
+
+
+def articles_by_page(found: DataFrame) -> DataFrame:
+    """(document_id, page, articles): the ids of the articles that begin on each page, in order."""
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("position", "article_id"))), lambda a: a["article_id"])
+    return found.groupBy("document_id", "page").agg(ordered.alias("articles"))

@@ -86,6 +86,18 @@ class Cells:
             centres = np.array([data[nearest == c].mean(0) if (nearest == c).any() else centres[c] for c in range(len(centres))])
         self.centres = centres
 
+    def save(self, spark, path: str) -> None:
+        """Writes the centres (as many rows as there are cells)."""
+        rows = [(i, [float(x) for x in c]) for i, c in enumerate(self.centres)]
+        spark.createDataFrame(rows, "cell int, centre array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+    @classmethod
+    def load(cls, spark, path: str, key: str, vector: str) -> Cells:
+        cells = cls.__new__(cls)
+        cells.key, cells.vector = key, vector
+        cells.centres = np.array([r.centre for r in spark.read.parquet(path).orderBy("cell").collect()], np.float64)
+        return cells
+
     def assigned(self, df: DataFrame, probes: int = 1) -> DataFrame:
         """(key, vector, cell): each row with its ``probes`` nearest cells."""
         centres, key, vector = self.centres, self.key, self.vector
@@ -109,3 +121,23 @@ class Cells:
         scored = pairs.select("query_id", self.key, cosine(F.col("_q"), F.col(self.vector)).alias("score"))
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), self.key)
         return scored.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", self.key, "score")
+
+
+def embedded(chunks: DataFrame, model, name: str, batch: int = 256) -> DataFrame:
+    """(vector_id, chunk_id, document_id, embedding_model, dimension, vector) of chunks(chunk_id, document_id, text).
+
+    ``model()`` is called once per task and returns a function from a list of texts to a matrix; null texts are left
+    out."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = model()
+        for rows in batches:
+            for i in range(0, rows.num_rows, batch):
+                part = rows.slice(i, batch)
+                vectors = np.asarray(encode(part.column(2).to_pylist()), np.float32)
+                ids = [f"{name}_{c}" for c in part.column(0).to_pylist()]
+                columns = [pa.array(ids), part.column(0), part.column(1), pa.array([name] * len(ids)), pa.array([vectors.shape[1]] * len(ids), pa.int32()), pa.array(vectors.tolist(), pa.list_(pa.float32()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["vector_id", "chunk_id", "document_id", "embedding_model", "dimension", "vector"])
+
+    schema = "vector_id string, chunk_id string, document_id string, embedding_model string, dimension int, vector array<float>"
+    return chunks.select("chunk_id", "document_id", "text").filter("text is not null").mapInArrow(run, schema)

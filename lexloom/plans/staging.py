@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SHARED = "spark.checkpoint.dir"
 _local_root: str | None = None
+_written: list[Staged] = []
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -41,6 +42,7 @@ class Staged:
         self.path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
         df.write.parquet(self.path)
         self.df = spark.read.schema(df.schema).parquet(self.path)
+        _written.append(self)
 
     def _fs(self):
         jvm = self._spark.sparkContext._jvm
@@ -64,3 +66,11 @@ class Staged:
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back."""
     return Staged(df, name).df
+
+
+def release() -> int:
+    """Remove all tables staged so far; to be called once the results that read them are written. Returns their number."""
+    n = len(_written)
+    while _written:
+        _written.pop().drop()
+    return n

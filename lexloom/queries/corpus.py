@@ -179,3 +179,15 @@ def hybrid_pages(pages: DataFrame) -> DataFrame:
 
     native = pages.select("document_id", "page", "text").distinct()
     return hybrid(native, pages.filter("page is not null").select("document_id", "page", F.col("raw_text").alias("text")).distinct())
+
+
+@query("pages")
+def cleaning_report(pages: DataFrame) -> DataFrame:
+    rows = pages.filter("raw_text is not null").select("document_id", "page", "raw_text").distinct()
+    return lines.cleaning_report(rows, lines.clean_pages(rows, "raw_text"), "raw_text")
+
+
+@query("documents")
+def repaired_typing(documents: DataFrame) -> DataFrame:
+    """Reading-model marks and typed ones in dates put right; look-arounds have no counterpart in DuckDB."""
+    return documents.filter("text is not null").select("doc_id", T.typewriter_ones(T.without_reader_marks(F.col("text"))).alias("text"))

@@ -201,3 +201,18 @@ select document_id, case when n <> 1 then 'passage' when 8.0 / 9 > 0.5 then 'len
 def checked_corrections(documents: DataFrame) -> DataFrame:
     wanted = documents.filter("text is not null").select("document_id", F.lit("Article 2").alias("before"), F.lit("Article 2 nouveau").alias("after"), F.lit(0.9).alias("confidence"))
     return R.verified(wanted, documents, "document_id", "text").select("document_id", "refusal")
+
+
+@query("documents", "metadata")
+def dates_witnessed(documents: DataFrame, meta: DataFrame) -> DataFrame:
+    """Whether the text supports the date read from it, the listed one, both or neither (edit distances of months)."""
+    texts = documents.filter("text is not null").select("document_id", "text", N.written_date(F.substring("text", 1, 300)).alias("read"))
+    joined = texts.join(meta.select("document_id", "date"), "document_id")
+    return joined.select("document_id", "read", F.col("date").alias("listed"), M.third_witness(F.col("read"), F.col("date"), F.col("text")).alias("witness"))
+
+
+@query("documents")
+def article_chunks(documents: DataFrame) -> DataFrame:
+    from lexloom.operators.chunks import article_chunks as chunked
+
+    return chunked(S.articles(_as_pages(documents), "text"))

@@ -50,6 +50,16 @@ def test_near_pairs_against_brute_force(spark):
     assert dedup.near_links(df.limit(0), "k", "t").count() == 0
 
 
+def test_staged_tables(spark):
+    from lexloom.plans.staging import Staged, release
+
+    staged = Staged(spark.range(5), "t")
+    assert staged.rows == 5 and staged.bytes > 0
+    assert release() >= 1 and release() == 0
+    with pytest.raises(Exception):
+        staged.df.count()
+
+
 def test_exact_links(spark):
     df = spark.createDataFrame([(3, "x", 1), (1, "x", 2), (2, "y", 0), (4, None, 0), (5, "x", 1)], "k int, c string, o int")
     assert rows(dedup.exact_links(df, "k", F.col("c"), F.col("o"))) == [(1, 3), (5, 3)]
@@ -172,7 +182,7 @@ def test_review(spark):
     assert got[0] > 0.85 and got[1:] == [0, 0, 0]
 
 
-def test_vectors(spark):
+def test_vectors(spark, tmp_path):
     rng = random.Random(6)
     data = [(i, [rng.gauss(i % 5, 0.6) for _ in range(16)]) for i in range(400)] + [(400, [0.0] * 16)]
     df = spark.createDataFrame(data, "k int, v array<float>")
@@ -184,6 +194,9 @@ def test_vectors(spark):
     got = {(r.query_id, r.k) for r in cells.search(df, asked, 10, probes=5).collect()}
     assert len(got & wanted) / len(wanted) >= 0.9
     assert cells.assigned(df).count() == 401
+    cells.save(spark, str(tmp_path / "cells"))
+    loaded = vectors.Cells.load(spark, str(tmp_path / "cells"), "k", "v")
+    assert {(r.query_id, r.k) for r in loaded.search(df, asked, 10, probes=5).collect()} == got
     one = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([1.0, 0.0], [0.0, 2.0]), ([1.0], [1.0, 2.0]), ([0.0], [1.0])], "a array<double>, b array<double>")
     assert [r[0] for r in one.select(vectors.cosine(F.col("a"), F.col("b"))).collect()] == [1, 0, 0, 0]
 
