@@ -298,7 +298,7 @@ _OPEN, _CLOSE = "«\"'“‘([", "»\"'”’)]"
 
 def _alone(text: str, begin: int, end: int) -> bool:
     """Whether the sign is quoted by itself, so spoken about rather than garbled."""
-    left, right = text[max(0, begin - 2) : begin].rstrip(), text[end : end + 2].lstrip()
+    left, right = text[max(0, begin - 4) : begin].rstrip(), text[end : end + 4].lstrip()
     return left[-1:] in _OPEN and right[:1] in _CLOSE and bool(left) and bool(right)
 
 

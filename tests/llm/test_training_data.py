@@ -318,7 +318,7 @@ def garbled_rows():
         plain.encode().decode("latin-1").encode().decode("latin-1"), plain.replace("’", "'").replace("—", "-").encode("cp850").decode("cp1252", "replace"),
         "Le préfet n\ufffd 4 présente", "Fait le 3 dÃ©cembre",
     ]
-    right = ["Le caractère « Ã » gravé", "CONVENÇÃO, DISPOSIÇÕES, NÃO", "Ñandú, Łódka", "запись акта", "ÉTÉ, À CÔTÉ, ÎLE", "De\u0301cret n° 3", "条文 第3", "", None]
+    right = ["Le caractère « Ã » gravé", "Le  caractère  «  Ã  »  et  le  «\u00a0Â\u00a0»  gravé", "CONVENÇÃO, DISPOSIÇÕES, NÃO", "Ñandú, Łódka", "запись акта", "ÉTÉ, À CÔTÉ, ÎLE", "De\u0301cret n° 3", "条文 第3", "", None]
     return rows, [(1000 + i, w) for i, w in enumerate(wrong)], [(2000 + i, t) for i, t in enumerate(right)], plain
 
 
