@@ -26,13 +26,13 @@ def top_k(df: DataFrame, key: str, vector: str, queries: DataFrame, k: int, metr
     """(query_id, rank, key, score): each query against all rows, exactly; ties by key; rows equal to the query's
     key are left out. Queries go out in blocks of QUERY_BLOCK, so what is broadcast has a fixed size."""
     kind = df.schema[key].dataType.simpleString()
-    ids = [r[0] for r in queries.select(key).orderBy(key).toLocalIterator()][::QUERY_BLOCK]
+    blocks = -(-queries.count() // QUERY_BLOCK)
+    of_block = F.pmod(F.xxhash64(F.lit(13), F.col(key)), F.lit(max(blocks, 1)))
     parts = []
-    for i, low in enumerate(ids):
-        block = queries.filter(F.col(key) >= F.lit(low))
-        if i + 1 < len(ids):
-            block = block.filter(F.col(key) < F.lit(ids[i + 1]))
-        rows = block.select(key, vector).collect()
+    for i in range(blocks):
+        rows = queries.filter(of_block == i).select(key, vector).collect()  # about QUERY_BLOCK rows
+        if not rows:
+            continue
         matrix = np.array([r[1] for r in rows], np.float64)
         names = [r[0] for r in rows]
         parts.append(df.select(key, vector).mapInArrow(_scorer(names, matrix, k, metric), f"query_id {kind}, `{key}` {kind}, score double"))
