@@ -104,7 +104,7 @@ class Restorer:
         info = 2 * np.log2(joint / total) - np.log2(left / total)[:, None] - np.log2(right / total)[None, :]
         self.info = info.ravel()
         self.weight = np.clip(LEVEL - info, WORST, BEST).astype(np.float32).ravel()
-        # Frequencies are compared per hundred million pairs, unseen pairs as half of one seen once.
+        # Unseen pairs count as half a sighting.
         self.bits = np.log2(joint).ravel()
         classes = alphabet()
         special = np.zeros(k, bool)

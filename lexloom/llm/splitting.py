@@ -39,27 +39,36 @@ def piece_pattern(limit: Column, overlap: Column, boundaries: tuple[str, ...]) -
 
 
 def split_items(items: DataFrame, boundaries: tuple[str, ...]) -> DataFrame:
-    """Pieces of ``items(item_kind, item_id, body, begin, max_size, overlap)``.
+    """Pieces of ``items(item_kind, item_id, body, begin, size, max_size, overlap)``.
 
     Returns (item_kind, item_id, piece_no, begin, stop, piece): piece_no from 0, [begin, stop) counted from
-    the item's own ``begin`` in characters of body, pieces overlapping by exactly ``overlap`` (a limit that
-    leaves no room for it is an error of the caller), together covering the item.
+    the item's own ``begin`` in characters of body, pieces overlapping by exactly ``overlap``, together covering
+    the item's ``size``. Where the body is shorter than that, pieces of even length without text follow; no
+    string is made for what is missing, however far a wrong offset points.
     """
-    cores = F.regexp_extract_all("body", piece_pattern(F.col("max_size"), F.col("overlap"), boundaries), F.lit(0))
-    cut = items.select("item_kind", "item_id", "begin", "overlap", F.posexplode_outer(cores).alias("piece_no", "core"))
-    cut = cut.filter("piece_no is not null")
-    item = Window.partitionBy("item_kind", "item_id").orderBy("piece_no")
-    n = F.length("core")
-    upto = F.sum(n).over(item.rowsBetween(Window.unboundedPreceding, 0))
-    tail = F.when(F.col("piece_no") > 0, F.expr("right(lag(core) over (partition by item_kind, item_id order by piece_no), overlap)"))
-    cut = cut.withColumn("stop", upto).withColumn("tail", F.coalesce(tail, F.lit("")))
-    return cut.select(
+    limit, overlap = F.col("max_size"), F.col("overlap")
+    head = ["item_kind", "item_id", "begin", "overlap"]
+    cores = F.regexp_extract_all("body", piece_pattern(limit, overlap, boundaries), F.lit(0))
+    cut = items.select(*head, F.posexplode_outer(cores).alias("at", "core")).filter("at is not null")
+    cut = cut.select(*head, F.col("at").cast("bigint").alias("at"), "core", F.length("core").cast("bigint").alias("n"))
+    missing, fits = F.col("size") - F.length("body"), F.greatest(limit - overlap, F.lit(1))
+    empty = items.withColumn("missing", missing).withColumn("fits", fits).filter("missing > 0")
+    empty = empty.select(*head, "missing", "fits", F.explode(F.sequence(F.lit(0), F.ceil(F.col("missing") / F.col("fits")) - 1)).alias("i"))
+    length = F.least(F.col("fits").cast("bigint"), F.col("missing") - F.col("i") * F.col("fits"))
+    empty = empty.select(*head, (F.col("i") + F.lit(1 << 40)).alias("at"), F.lit(None).cast("string").alias("core"), length.alias("n"))
+    item = Window.partitionBy("item_kind", "item_id").orderBy("at")
+    rows = cut.unionByName(empty)
+    rows = rows.withColumn("stop", F.sum("n").over(item.rowsBetween(Window.unboundedPreceding, 0))).withColumn("piece_no", F.row_number().over(item) - 1)
+    rows = rows.withColumn("before", F.lag("core").over(item))
+    back = F.when(F.col("piece_no") > 0, F.least(F.col("overlap").cast("bigint"), F.col("stop") - F.col("n"))).otherwise(0)
+    tail = F.when(F.col("piece_no") > 0, F.expr("right(before, overlap)")).otherwise("")
+    return rows.select(
         "item_kind",
         "item_id",
         "piece_no",
-        (F.col("begin") + F.col("stop") - n - F.length("tail")).cast("int").alias("begin"),
-        (F.col("begin") + F.col("stop")).cast("int").alias("stop"),
-        F.concat("tail", "core").alias("piece"),
+        (F.col("begin") + F.col("stop") - F.col("n") - back).cast("bigint").alias("begin"),
+        (F.col("begin") + F.col("stop")).cast("bigint").alias("stop"),
+        F.concat(F.coalesce(tail, F.lit("")), "core").alias("piece"),
     )
 
 
@@ -104,8 +113,10 @@ def document_pieces(documents: DataFrame, pages: DataFrame, structure: DataFrame
     # 's' < 'u': the strongest boundary of a page is the greatest code.
     codes = unit.union(ended).filter("page is not null").groupBy("document_id", "page").agg(F.max("code").alias("code"))
     codes = codes.groupBy(F.col("document_id").alias("item_id")).agg(F.map_from_entries(F.collect_list(F.struct("page", "code"))).alias("codes"))
-    letters = F.transform(F.sequence(F.lit(1), F.col("size")), lambda i: F.coalesce(F.try_element_at("codes", i), F.lit("x")))
-    items = big.join(codes, "item_id", "left").withColumn("body", F.array_join(letters, "")).withColumn("begin", F.lit(1))
+    # Letters up to one limit behind the last page that something is known of; further pages have no boundaries.
+    known = F.least(F.col("size"), F.coalesce(F.array_max(F.map_keys("codes")) + F.col("max_size"), F.lit(0)))
+    letters = F.transform(F.sequence(F.lit(1), F.greatest(known, F.lit(1))), lambda i: F.coalesce(F.try_element_at("codes", i), F.lit("x")))
+    items = big.join(codes, "item_id", "left").withColumn("body", F.when(known > 0, F.array_join(letters, "")).otherwise("")).withColumn("begin", F.lit(1))
     return split_items(items, PAGE_BOUNDARIES).withColumn("piece", F.lit(None).cast("string"))
 
 
@@ -127,12 +138,12 @@ def node_pieces(documents: DataFrame, structure: DataFrame, limits: DataFrame) -
 
     Cuts fall where another unit of the document begins or a heading line stands, else at the end of a
     paragraph, line, sentence or word, else anywhere. Where a span reaches beyond the text (or the text is
-    missing), blanks stand for what is missing."""
+    missing), its last pieces have no text."""
     big = oversized_nodes(structure, limits)
     starts = structure.filter("char_start > 0").groupBy("document_id").agg(F.collect_set("char_start").alias("starts"))
     big = stage(big.join(starts, "document_id", "left"), "big-nodes")
     texts = documents.select("document_id", "text").filter("document_id is not null and text is not null")
-    own = F.expr("rpad(substring(text, begin + 1, int(size)), int(size), ' ')")
+    own = F.expr("substring(text, begin + 1, int(least(size, 2147483647L)))")
     inner = F.expr("filter(coalesce(starts, array()), x -> x > begin and x < begin + size)")
     marked = F.expr(
         f"aggregate(inner, body, (t, x) -> if(substring(t, x - begin, 1) = '\\n', overlay(t placing '{UNIT_MARK}' from int(x - begin) for 1), t))"
@@ -140,6 +151,7 @@ def node_pieces(documents: DataFrame, structure: DataFrame, limits: DataFrame) -
     items = (
         big.join(texts, "document_id", "left")
         .withColumn("text", F.coalesce("text", F.lit("")))
+        .withColumn("begin", F.greatest("begin", F.lit(0)))  # a negative offset is read as 0, the span keeps its length
         .withColumn("body", own)
         .withColumn("inner", inner)
         .withColumn("body", F.when(F.instr("body", UNIT_MARK) > 0, F.col("body")).otherwise(marked))
@@ -152,6 +164,6 @@ def split_oversized(documents: DataFrame, pages: DataFrame, structure: DataFrame
     """(item_kind, item_id, piece_no, begin, stop, piece) of all items beyond split_limits.
 
     Null ids and offsets, repeated rows, empty tables and extra columns are allowed; ``piece`` is the text
-    of a node's piece and null for documents. A limit that is null or not above zero splits nothing."""
+    of a node's piece, null beyond the text and for documents. A limit that is null or not above zero splits nothing."""
     of_documents = document_pieces(documents, pages, structure, limits)
     return of_documents.unionByName(node_pieces(documents, structure, limits))

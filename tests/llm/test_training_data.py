@@ -196,6 +196,18 @@ def test_pieces_cut_before_units(spark):
     assert got[0] == (1, 9)
 
 
+def test_pieces_of_wild_offsets(spark):
+    docs = frame(spark, [("a", 3, "mot " * 1000)], "document_id string, page_count int, text string")
+    nodes = frame(spark, [("far", "a", 1, 1000, 2_000_000), ("below", "a", 1, -50, 3500)], STRUCTURE)
+    limits = frame(spark, [("node", "char", 3000, 200)], LIMITS)
+    rows = splitting.split_oversized(docs, docs.selectExpr("document_id", "1 as page", "text"), nodes, limits).collect()
+    for item, begin, size in (("far", 1000, 1_999_000), ("below", 0, 3550)):
+        own = sorted((r for r in rows if r.item_id == item), key=lambda r: r.piece_no)
+        assert own[0].begin == begin and own[-1].stop == begin + size and all(r.stop - r.begin <= 3000 for r in own)
+        assert all(b.begin == a.stop - 200 for a, b in zip(own, own[1:])) and own[0].piece.startswith("mot")
+    assert sum(r.piece is None for r in rows if r.item_id == "far") > 700
+
+
 def test_pieces_of_empty_tables(spark):
     docs, pages, nodes, limits = split_tables(spark)
     assert splitting.split_oversized(docs.limit(0), pages.limit(0), nodes.limit(0), limits).count() == 0
