@@ -13,9 +13,9 @@ from lexloom.queries.catalogue import query
 with r as (select distinct node_id, upper(trim(number)) as t from structure where number is not null),
 d as (select node_id, t, regexp_matches(t, '^M{0,3}(CM|CD|D?C{0,3})(XC|XL|L?X{0,3})(IX|IV|V?I{0,3})$') and t <> '' as ok,
   list_transform(string_split(t, ''), lambda c: case c when 'I' then 1 when 'V' then 5 when 'X' then 10 when 'L' then 50 when 'C' then 100 when 'D' then 500 when 'M' then 1000 end) as v from r)
-select node_id, case when ok then cast(list_sum(list_transform(range(1, len(v) + 1), lambda i: case when i < len(v) and v[i] < v[i + 1] then -v[i] else v[i] end)) as int) end as value from d""")
+select node_id, case when ok then cast(list_sum(list_transform(range(1, len(v) + 1), lambda i: case when i < len(v) and v[i] < v[i + 1] then -v[i] else v[i] end)) as int) end as value from d where ok""")
 def roman_numbers(structure: DataFrame) -> DataFrame:
-    return structure.filter("number is not null").select("node_id", N.roman_value(F.col("number")).alias("value")).distinct()
+    return structure.select("node_id", N.roman_value(F.col("number")).alias("value")).filter("value is not null").distinct()
 
 
 @query("metadata", sql="""
