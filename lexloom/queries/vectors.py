@@ -28,9 +28,10 @@ def distance_top_k(embeddings: DataFrame) -> DataFrame:
 
 @query("embeddings")
 def indexed_top_k(embeddings: DataFrame) -> DataFrame:
-    """Search in an inverted index; its recall against the exact search is tested."""
+    """Search in an inverted index; its recall against the exact search is tested on the embeddings table. Its vectors
+    hardly cluster, so most of the 16 cells are probed."""
     cells = V.Cells(embeddings, "vec_id", "embedding")
-    return cells.search(embeddings, embeddings.filter("vec_id % 20 = 0"), 10, probes=8)
+    return cells.search(embeddings, embeddings.filter("vec_id % 20 = 0"), 10, probes=12)
 
 
 @query("embeddings", sql="""

@@ -1,10 +1,12 @@
 import json
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import chunks, citations, dedup, lines, metadata, review, store, structure, vectors
+from lexloom.queries import QUERIES
 from lexloom.sources import files, sinks
 from lexloom.streaming import incremental
 
@@ -201,6 +203,16 @@ def test_vectors(spark, tmp_path):
     assert [r[0] for r in one.select(vectors.cosine(F.col("a"), F.col("b"))).collect()] == [1, 0, 0, 0]
 
 
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01", "sf0.1"])
+def test_recall_of_the_registered_index(spark, folder):
+    if not Path(f"/root/testdata/{folder}").exists():
+        pytest.skip("no test corpus")
+    wanted, got = ({(r.query_id, r.vec_id) for r in QUERIES[name](spark, f"/root/testdata/{folder}").collect()} for name in ("cosine_top_k", "indexed_top_k"))
+    recall = len(got & wanted) / len(wanted)
+    print(f"recall {folder}: {recall:.3f}")
+    assert recall >= 0.9
+
+
 def test_files(spark, tmp_path):
     (tmp_path / "lois").mkdir()
     (tmp_path / "lois" / "a.txt").write_text("un")
