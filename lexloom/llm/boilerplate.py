@@ -15,6 +15,9 @@ from lexloom.plans.staging import stage
 
 MIN_CHARS, MIN_DOCS, MIN_SHARE = 20, 4, 0.1
 FALSE_DISCOVERY = 0.1
+#: Half a document with the line in so many is added outside: a rate of a thousandth. Any line has a rate to compare
+#: with, and where few documents are outside the share decides.
+BACKGROUND = 500.0
 # Fixed value: white space but the line feed, as Unicode and common text tools have it.
 BLANKS = "[\\t\\x0B\\f\\r\\x1C-\\x1F \\u0085\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
 #: p-values are ranked in steps of a hundredth of a power of ten, down to the smallest double.
@@ -78,7 +81,8 @@ def excess_lines(
     the stated share. ``places`` as of line_places, ``sizes(source, n)`` the sources' documents."""
     once = places.select("source", "h1", "h2", "document_id").distinct()
     counts = once.groupBy("source", "h1", "h2").agg(F.count(F.lit(1)).alias("k")).join(sizes, "source")
-    high = (F.col("k") >= min_docs) & (F.col("k") >= F.col("n") * min_share)
+    # A quotient is exact where a share is: 70 * 0.1 is more than 7. Small sources with the line are no outside either.
+    high = F.col("k") / F.col("n") >= min_share
     # One row per line: what it amounts to in the sources where it isn't high, and its frequent sources.
     by_line = counts.groupBy("h1", "h2").agg(
         F.sum(F.when(~high, F.col("k")).otherwise(0)).alias("low_k"),
@@ -90,8 +94,7 @@ def excess_lines(
     own_k = F.when(F.col("high"), 0).otherwise(F.col("k"))
     own_n = F.when(F.col("high"), 0).otherwise(F.col("n"))
     out_k, out_n = (F.col("low_k") - own_k).cast("double"), (F.lit(all_n) - F.col("high_n") - own_n).cast("double")
-    # Half a document is added outside, so that a line seen nowhere else has a rate to compare with.
-    out_k, out_n = out_k + 0.5, out_n + 1.0
+    out_k, out_n = out_k + 0.5, out_n + BACKGROUND
     k, n = F.col("k").cast("double"), F.col("n").cast("double")
     tested = tested.withColumn("g2", F.when(k / n > out_k / out_n, _g2(k, n, out_k, out_n)).otherwise(0.0))
     step = F.least(F.floor(-_log_erfc(F.sqrt(F.col("g2") / 2)) / F.log(F.lit(10.0)) * 100), F.lit(STEPS)).cast("int")
@@ -103,7 +106,7 @@ def excess_lines(
     passes = F.pow(F.lit(10.0), -F.col("step") / 100) <= F.lit(false_discovery) * F.col("rank") / F.col("m")
     bound = ranks.filter(passes).agg(F.min("step").alias("bound")).first()["bound"]
     found = tested.filter((F.col("step") >= F.lit(STEPS + 1 if bound is None else bound)) & (F.col("g2") > 0))
-    found = found.filter((F.col("k") >= min_docs) & (F.col("k") >= F.col("n") * min_share))
+    found = found.filter((F.col("k") >= min_docs) & (F.col("k") / F.col("n") >= min_share))
     return found.select("source", "h1", "h2", F.col("k").alias("docs"), F.col("n").alias("source_docs"), "g2")
 
 

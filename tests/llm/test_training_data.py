@@ -239,6 +239,23 @@ def test_excess_lines(spark):
     assert [(r.source, r.line, r.docs, r.source_docs) for r in report] == [("site", "retour à la liste des actes du greffe n° 0", 90, 200)]
 
 
+@pytest.mark.parametrize(
+    "sources",
+    [
+        {"one": (70, 7)}, {"one": (70, 30)}, {"one": (40, 4), "few": (5, 0)},
+        {"a": (100, 10), "b": (60, 25), "c": (40, 20)}, {"big": (200, 25), **{f"small{i}": (5, 3) for i in range(20)}},
+    ],
+)
+def test_excess_lines_without_an_outside(spark, sources):
+    notice = "Retour à la liste des actes du greffe"
+    docs = [(f"{s}-{i}", s) for s, (n, _) in sources.items() for i in range(n)]
+    pages = [(f"{s}-{i}", 1, "court\n" + (notice if i < k else "")) for s, (n, k) in sources.items() for i in range(n)]
+    p, d = frame(spark, pages, "document_id string, page int, raw_text string"), frame(spark, docs, "document_id string, source string")
+    wanted = {(f"{s}-{i}", 1, 2) for s, (n, k) in sources.items() if k >= 4 and k * 10 >= n for i in range(k)}
+    assert {tuple(r) for r in boilerplate.excess_occurrences(p, d).collect()} == wanted
+    assert {(r.source, r.docs) for r in boilerplate.excess_report(p, d).collect()} == {(s, k) for s, (n, k) in sources.items() if k >= 4 and k * 10 >= n}
+
+
 def test_excess_lines_of_empty_tables(spark):
     p, d = frame(spark, [], "document_id string, page int, raw_text string"), frame(spark, [], "document_id string, source string")
     assert boilerplate.excess_occurrences(p, d).count() == 0 and boilerplate.without_excess(p, d).count() == 0
