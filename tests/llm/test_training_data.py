@@ -138,6 +138,17 @@ def test_scans_of_empty_table(spark):
     assert scans.repaired_pages(frame(spark, [], PAGES)).count() == 0
 
 
+def test_running_lines_behind_a_page_number(spark):
+    body = ["Le conseil adresse la demande de contrôle", "Une taxe annuelle est perçue au profit du fonds", "Le ministre est chargé du présent texte"]
+    heads = ["BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES - {} -", "- {} - BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES"]
+    pages = [("s", p, None, heads[p % 2 == 0].format(p) + "\n" + b, "ocr") for p, b in enumerate(body, 1)]
+    pages += [("t", p, None, f"- {p} - Article {p}\n- des agents du fonds\n{b}", "ocr") for p, b in enumerate(body, 1)]
+    out = {(r.document_id, r.page): r for r in scans.repaired_pages(frame(spark, pages, PAGES)).collect()}
+    for p, b in enumerate(body, 1):
+        assert set(out[("s", p)].defects) == {"running_line", "page_number"} and out[("s", p)].text == b
+        assert "Article" in out[("t", p)].text and "- des agents du fonds" in out[("t", p)].text
+
+
 def test_page_numbers_and_strokes():
     for line in ("- 2 -", "2", "[12]", "Page 3 sur 9", "3/9", "xiv", "Folio 580", "— 7 —", ". 5 .", "p. 3"):
         assert scans.is_page_number(line), line
