@@ -138,6 +138,15 @@ def test_scans_of_empty_table(spark):
     assert scans.repaired_pages(frame(spark, [], PAGES)).count() == 0
 
 
+def test_words_below_the_vocabulary_count(spark):
+    # 3.5 million words, so the vocabulary begins at 7 occurrences.
+    pages = [(f"n{i}", 1, None, "mot " * 50_000, "pymupdf") for i in range(70)]
+    pages += [(f"r{i}", 1, None, "conte\ntribunal\navant-projet\n", "pymupdf") for i in range(5)] + [(f"c{i}", 1, None, "coute", "pymupdf") for i in range(9)]
+    pages += [("a", 1, None, "mot conte mot", "ocr"), ("b", 1, None, "mot tr1bunal mot", "ocr"), ("c", 1, None, "mot avant-\nprojet mot", "ocr")]
+    out = {r.document_id: (r.text, r.defects) for r in scans.repaired_pages(frame(spark, pages, PAGES)).collect()}
+    assert out == {"a": ("mot conte mot", []), "b": ("mot tribunal mot", ["misread"]), "c": ("mot avant-projet mot", [])}
+
+
 def test_running_lines_behind_a_page_number(spark):
     body = ["Le conseil adresse la demande de contrôle", "Une taxe annuelle est perçue au profit du fonds", "Le ministre est chargé du présent texte"]
     heads = ["BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES - {} -", "- {} - BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES"]
