@@ -26,15 +26,21 @@ def first_field(*candidates: Column) -> Column:
 
 
 def act_type(text: Column, category: Column, name: Column) -> Column:
-    """Kind whose word stands first in the text, else the folder's, else the file name's."""
-    plain = fold(F.substring(text, 1, 3000))
-    places = [F.when(F.regexp_instr(plain, F.lit(p)) > 0, F.struct(F.regexp_instr(plain, F.lit(p)).alias("at"), F.lit(t).alias("t"))) for t, p in TYPE_WORDS.items()]
-    read = F.least(*places)["t"]
+    """Kind whose word stands first in the head of the text, else the folder's, else the file name's, else the first in the
+    whole text: far behind the head such words are mostly other acts or ordinary words."""
+
+    def first(part: Column) -> Column:
+        plain = fold(part)
+        places = [F.when(F.regexp_instr(plain, F.lit(p)) > 0, F.struct(F.regexp_instr(plain, F.lit(p)).alias("at"), F.lit(t).alias("t"))) for t, p in TYPE_WORDS.items()]
+        return F.least(*places)["t"]
+
+    read = first(F.substring(text, 1, 3000))
     prefix = F.substring_index(name, "_", 1)
     return first_field(
         field(read, 0.90, F.lit("text")),
         field(F.when(category.isin(*TYPE_WORDS), category), 0.45, F.lit("category")),
         field(F.when(prefix.isin(*TYPE_WORDS), prefix), 0.35, F.lit("name")),
+        field(first(text), 0.30, F.lit("text")),
     )
 
 
@@ -125,9 +131,10 @@ def sequential_ids(df: DataFrame, name: Column, content: Column, *order: Column)
 
 
 def authority(text: Column, kind: Column, patterns: dict[str, str], by_kind: dict[str, str]) -> Column:
-    """Issuing authority read from the text (0.80), else the one that issues acts of the kind (0.75)."""
-    read = [field(F.when(fold(F.substring(text, 1, 3000)).rlike(p), F.lit(name)), 0.80, F.lit("text")) for name, p in patterns.items()]
-    return first_field(*read, field(lookup(kind, by_kind), 0.75, F.lit("kind")))
+    """Issuing authority read from the head (0.80), else the one that issues acts of the kind (0.75), else read from the
+    whole text (0.30)."""
+    read = lambda part, sure: [field(F.when(fold(part).rlike(p), F.lit(name)), sure, F.lit("text")) for name, p in patterns.items()]
+    return first_field(*read(F.substring(text, 1, 3000), 0.80), field(lookup(kind, by_kind), 0.75, F.lit("kind")), *read(text, 0.30))
 
 
 def date_seen(text: Column, date: Column, zone: int = 1500) -> Column:

@@ -175,6 +175,16 @@ def test_fields(spark):
     assert text.select(metadata.domain(F.col("t"), {"fiscal": ["impot", "taxe"], "mer": ["navire"]}).alias("d")).first().d.value == "fiscal"
 
 
+def test_fields_behind_a_long_head(spark):
+    head = "Journal officiel. " * 300
+    docs = [("x_1", "divers", head + "Décret portant création"), ("arrete_2", None, head + "Le garde soumet la convention d'exploitation"), ("x_3", "loi", head + "Arrêté en application")]
+    docs = spark.createDataFrame(docs, "document_id string, category string, text string")
+    kind = metadata.act_type(F.col("text"), F.col("category"), F.col("document_id"))
+    who = metadata.authority(F.col("text"), F.col("category"), {"ministre": "portant|application"}, {"loi": "assemblée"})
+    got = {r.document_id: (r.t.value, r.t.confidence, r.a and (r.a.value, r.a.confidence)) for r in docs.select("document_id", kind.alias("t"), who.alias("a")).collect()}
+    assert got == {"x_1": ("decret", 0.3, ("ministre", 0.3)), "arrete_2": ("arrete", 0.35, None), "x_3": ("loi", 0.45, ("assemblée", 0.75))}
+
+
 def test_review(spark):
     texts = spark.createDataFrame([("d", "un deux trois deux")], "k string, t string")
     wanted = spark.createDataFrame([("d", "un", "une", 0.9), ("d", "deux", "dix", 0.9), ("d", "trois", "tr", 0.9), ("d", "un", "une", 0.5), ("z", "un", "une", 0.9)], "k string, before string, after string, confidence double")
