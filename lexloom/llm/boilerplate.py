@@ -131,15 +131,22 @@ def excess_occurrences(pages: DataFrame, documents: DataFrame) -> DataFrame:
     return hit.select("document_id", "page", "line_no").distinct()
 
 
+def _same_page(a: DataFrame, b: DataFrame) -> Column:
+    """Join condition; a null page is a page like others."""
+    return (a["document_id"] == b["document_id"]) & a["page"].eqNullSafe(b["page"])
+
+
 def excess_report(pages: DataFrame, documents: DataFrame) -> DataFrame:
     """(source, line, docs, source_docs, g2): the excessive lines of each source in their canonical form."""
     places, excess = _analysed(pages, documents)
     hit = places.join(excess, ["source", "h1", "h2"])
     sample = F.min(F.struct("document_id", "page", "line_no"))
     hit = hit.groupBy("source", "h1", "h2", "docs", "source_docs", "g2").agg(sample.alias("s"))
-    hit = hit.select("source", "docs", "source_docs", "g2", "s.document_id", "s.page", "s.line_no")
+    hit = hit.select("source", "h1", "h2", "docs", "source_docs", "g2", "s.document_id", "s.page", "s.line_no")
     texts = pages.select("document_id", "page", "raw_text").filter("raw_text is not null")
-    joined = hit.join(texts, ["document_id", "page"]).withColumn("line", F.trim(F.element_at(canonical(F.col("raw_text")), F.col("line_no"))))
+    joined = hit.join(texts, _same_page(hit, texts)).withColumn("line", F.trim(F.get(canonical(F.col("raw_text")), F.col("line_no") - 1)))
+    # Of several rows of one page the one that has the line.
+    joined = joined.filter((F.xxhash64("line") == F.col("h1")) & (F.xxhash64(F.lit(41), F.reverse("line")) == F.col("h2")))
     return joined.select("source", "line", "docs", "source_docs", "g2").distinct()
 
 
@@ -148,7 +155,7 @@ def without_excess(pages: DataFrame, documents: DataFrame) -> DataFrame:
     put together again in order. Rows keep their number; null raw_text stays null with removed 0."""
     gone = stage(excess_occurrences(pages, documents).groupBy("document_id", "page").agg(F.collect_set("line_no").alias("gone")), "gone-lines")
     own = pages.select("document_id", "page", "raw_text")
-    joined = own.join(gone, ["document_id", "page"], "left")
+    joined = own.join(gone, _same_page(own, gone), "left").select(own["document_id"], own["page"], "raw_text", "gone")
     kept = F.expr("array_join(filter(split(raw_text, '\\n'), (x, i) -> not array_contains(gone, i + 1)), '\\n')")
     return joined.select(
         "document_id", "page",

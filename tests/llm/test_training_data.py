@@ -276,6 +276,19 @@ def test_excess_lines_without_an_outside(spark, sources):
     assert {(r.source, r.docs) for r in boilerplate.excess_report(p, d).collect()} == {(s, k) for s, (n, k) in sources.items() if k >= 4 and k * 10 >= n}
 
 
+def test_excess_lines_on_odd_pages(spark):
+    notice = "Retour à la liste des actes du greffe"
+    docs = [(f"a{i}", "site") for i in range(10)]
+    pages = [("a0", None, f"court\n{notice}"), ("a1", 1, f"court\n{notice}"), ("a1", 1, "court\nUne autre ligne du même endroit"), ("a1", 1, "court")]
+    pages += [(f"a{i}", i, f"court\n{notice}") for i in range(2, 10)]
+    p, d = frame(spark, pages, "document_id string, page int, raw_text string"), frame(spark, docs, "document_id string, source string")
+    assert [(r.source, r.line, r.docs) for r in boilerplate.excess_report(p, d).collect()] == [("site", notice.lower(), 10)]
+    clean = boilerplate.without_excess(p, d).collect()
+    assert len(clean) == len(pages) and [(r.raw_text, r.removed) for r in clean if r.page is None] == [("court", 1)]
+    # The page whose first row has the line.
+    assert [(r.source, r.line, r.docs) for r in boilerplate.excess_report(p.filter("page is not null"), d).collect()] == [("site", notice.lower(), 9)]
+
+
 def test_excess_lines_of_empty_tables(spark):
     p, d = frame(spark, [], "document_id string, page int, raw_text string"), frame(spark, [], "document_id string, source string")
     assert boilerplate.excess_occurrences(p, d).count() == 0 and boilerplate.without_excess(p, d).count() == 0
