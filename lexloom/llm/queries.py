@@ -76,6 +76,11 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
 
 
+def p7_tempered(spark: SparkSession, folder: str) -> DataFrame:
+    """Shares of a mix half as large as the targeted sources: repetition limits bind, so the exponent is below 1."""
+    return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), of_corpus=0.5)[1]
+
+
 def p8_found(spark: SparkSession, folder: str) -> DataFrame:
     return mojibake.restored_texts(table(spark, folder, "documents")).select("doc_id")
 
@@ -86,5 +91,5 @@ def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p2_found, p2_clean, p3_found, p3_text, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p8_found, p8_restored)
+    for f in (p1_found, p1_groups, p2_found, p2_clean, p3_found, p3_text, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p7_tempered, p8_found, p8_restored)
 }

@@ -333,7 +333,8 @@ def test_small_caches_change_nothing():
 def test_weights():
     shares = [mixing.Share("a", 1000, 0.5, 2), mixing.Share("b", 100, 0.25, 3), mixing.Share("c", 0, 0.25, 5)]
     weights, total, exponent = mixing.mixing_weights(shares)
-    assert weights == pytest.approx([2 / 3, 1 / 3, 0]) and total == pytest.approx(900) and exponent == 1
+    assert weights == pytest.approx([2 / 3, 1 / 3, 0], abs=1e-5) and total == pytest.approx(900, rel=1e-5) and 0.999 < exponent < 1
+    assert mixing.mixing_weights([mixing.Share("a", 300, 0.3, 2), mixing.Share("b", 700, 0.7, 2)])[2] == 0  # the sources' own shares
     weights, total, exponent = mixing.mixing_weights(shares, 1100)
     assert total == pytest.approx(1100) and 0 < exponent < 1 and weights[1] * total == pytest.approx(300, rel=1e-6)
     own = [0.7, 0.2, 0.1]
@@ -361,6 +362,35 @@ def test_mix(spark):
     assert again == {(r.doc_id, r.repeats) for r in rows}
 
 
+def test_mix_of_repeated_and_null_ids(spark, monkeypatch):
+    rng = random.Random(3)
+    docs = [(i, "a", "mot " * rng.randint(1, 30)) for i in range(40)]
+    docs += [(100 + i, "b", "mot " * 10) for i in range(40)] + [(None, "b", f"mot{i} " * 5) for i in range(30)] + [(7, "b", "le même texte")] * 60
+    docs += [(d, "a", t) for d, _, t in docs[:20]]  # twice each
+    d = frame(spark, docs, "doc_id bigint, source string, text string")
+    t = frame(spark, [("a", 0.7, 1), ("b", 0.3, 1)], "source string, target_share double, max_repeats int")
+    for last in (50_000, 1):  # also with every level of blocks
+        monkeypatch.setattr(mixing, "LAST", last)
+        draws, report = mixing.mix(d, t)
+        rows = draws.collect()
+        got = {s: sum(r.n_tokens * r.repeats for r in rows if r.source == s) for s in "ab"}
+        size = {s: max(r.n_tokens for r in mixing.token_counts(d.filter(f"source = '{s}'"), "text", ["doc_id"]).collect()) for s in "ab"}
+        whole = min(sum(r.n_tokens for r in mixing.token_counts(d.filter(f"source = '{s}'"), "text", ["doc_id"]).collect()) / w for s, w in (("a", 0.7), ("b", 0.3)))
+        assert all(abs(got[s] - w * whole) < size[s] + 1 for s, w in (("a", 0.7), ("b", 0.3)))
+        assert all(r.repeats == 1 for r in rows) and {r.source: r.drawn_tokens for r in report.collect()} == got
+
+
+def test_mix_with_a_budget(spark):
+    docs = [(i, "abc"[i % 10 // 4] if i % 10 < 9 else "c", "mot " * 20) for i in range(500)]
+    d = frame(spark, docs, "doc_id bigint, source string, text string")
+    t = frame(spark, [("a", 0.1, 2), ("b", 0.1, 2), ("c", 0.8, 2)], "source string, target_share double, max_repeats int")
+    draws, report = mixing.mix(d, t, of_corpus=1.0)
+    rows = {r.source: r for r in report.collect()}
+    assert 0 < rows["c"].exponent < 1  # the limit on repeats binds
+    assert all(r.actual_share == pytest.approx(r.weight, abs=0.005) for r in rows.values())
+    assert max(r.repeats for r in draws.collect()) <= 2 and rows["c"].actual_share > 0.2
+
+
 def test_mix_of_empty_tables(spark):
     d = frame(spark, [], "doc_id bigint, source string, text string")
     t = frame(spark, [("a", 1.0, 2)], "source string, target_share double, max_repeats int")
