@@ -83,14 +83,15 @@ def excess_lines(
     counts = once.groupBy("source", "h1", "h2").agg(F.count(F.lit(1)).alias("k")).join(sizes, "source")
     # A quotient is exact where a share is: 70 * 0.1 is more than 7. Small sources with the line are no outside either.
     high = F.col("k") / F.col("n") >= min_share
-    # One row per line: what it amounts to in the sources where it isn't high, and its frequent sources.
+    counts = stage(counts.withColumn("high", high), "line-counts")
+    # One row per line: what it amounts to in the sources where it isn't high, and the size of the others.
     by_line = counts.groupBy("h1", "h2").agg(
-        F.sum(F.when(~high, F.col("k")).otherwise(0)).alias("low_k"),
-        F.sum(F.when(high, F.col("n")).otherwise(0)).alias("high_n"),
-        F.collect_list(F.when(F.col("k") >= min_docs, F.struct("source", "k", "n", high.alias("high")))).alias("tested"),
-    ).filter("size(tested) > 0")
+        F.sum(F.when(F.col("high"), 0).otherwise(F.col("k"))).alias("low_k"),
+        F.sum(F.when(F.col("high"), F.col("n")).otherwise(0)).alias("high_n"), F.max("k").alias("most"),
+    )
+    # A line that very many sources have is a heavy key on the left only, which adaptive execution splits.
+    tested = counts.filter(F.col("k") >= min_docs).join(by_line.filter(F.col("most") >= min_docs).drop("most"), ["h1", "h2"])
     all_n = sizes.agg(F.sum("n").alias("n")).first()["n"] or 0
-    tested = by_line.select("h1", "h2", "low_k", "high_n", F.explode_outer("tested").alias("t")).select("h1", "h2", "low_k", "high_n", "t.*")
     own_k = F.when(F.col("high"), 0).otherwise(F.col("k"))
     own_n = F.when(F.col("high"), 0).otherwise(F.col("n"))
     out_k, out_n = (F.col("low_k") - own_k).cast("double"), (F.lit(all_n) - F.col("high_n") - own_n).cast("double")

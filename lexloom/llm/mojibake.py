@@ -11,6 +11,7 @@ again for double encoding) are tried; one is accepted if the restored pairs are
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -184,9 +185,8 @@ class Restorer:
                 continue
             new = self.bits[pairs]
             if multi:
-                foreign = (pairs % self.k == 1).any() or any("\u0400" <= c <= "\u04ff" for c in text)
-                if foreign and len(text) < 3:
-                    continue  # one or two signs of another script are no evidence
+                if len(text) < 3 and self._foreign(before, text, after):
+                    continue  # one or two letters of another script are no evidence
                 gain = float(new.mean() - old.mean())
                 if gain < -MULTI_LOSS:
                     continue
@@ -200,6 +200,12 @@ class Restorer:
                 choice, most = text, gain
         return choice
 
+    def _foreign(self, before: str, text: str, after: str) -> bool:
+        """Whether a short original has signs of two bytes, or letters, that no single-byte table knows. Three or four bytes
+        that form one valid sign, such as a narrow space, an arrow or an emoji, hardly do so by chance."""
+        unknown = [c for c in text if alphabet()[min(ord(c), 65535)] == 1 or "\u0400" <= c <= "\u04ff"]
+        return any(c < "\u0800" or unicodedata.category(c)[0] in "LM" for c in unknown)
+
     def segments(self, classes: np.ndarray) -> list[tuple[int, int]]:
         """Maximum-scoring segments as [first, last] pair positions, after Ruzzo and Tompa, over the improbable
         pairs and the gaps between them. A segment that no earlier one can extend settles all before it."""

@@ -276,6 +276,15 @@ def test_excess_lines_without_an_outside(spark, sources):
     assert {(r.source, r.docs) for r in boilerplate.excess_report(p, d).collect()} == {(s, k) for s, (n, k) in sources.items() if k >= 4 and k * 10 >= n}
 
 
+def test_excess_lines_equally_frequent_outside(spark):
+    """A line at the share here and just below it everywhere else is no feature of the source: the test decides."""
+    docs = [(f"{s}-{i}", s) for s in "abcde" for i in range(1000 if s == "a" else 3000)]
+    notice = "Retour à la liste des actes du greffe"
+    pages = [(d, 1, notice if int(d[2:]) < (100 if s == "a" else 299) else "court") for d, s in docs]
+    p, d = frame(spark, pages, "document_id string, page int, raw_text string"), frame(spark, docs, "document_id string, source string")
+    assert boilerplate.excess_occurrences(p, d).count() == 0
+
+
 def test_excess_lines_on_odd_pages(spark):
     notice = "Retour à la liste des actes du greffe"
     docs = [(f"a{i}", "site") for i in range(10)]
@@ -422,5 +431,8 @@ def test_garbled_documents(spark):
     restored = {r.doc_id: r for r in out}
     for i in (1001, 1002, 1003, 1004):
         assert restored[i].text == plain, i
+    signs = [(5000 + i, f"Le premier mot{x.encode().decode('cp1252')}; le second mot") for i, x in enumerate("\u202f→🙂")]
+    df = frame(spark, [*rows, *signs], "doc_id bigint, text string")
+    assert {r.doc_id: r.text for r in mojibake.restored_texts(df).collect()} == {i: t.encode("cp1252").decode() for i, t in signs}
     assert restored[1007].text == "Fait le 3 décembre" and restored[1006].lost == 1
     assert mojibake.restored_texts(df.limit(0)).count() == 0
