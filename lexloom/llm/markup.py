@@ -11,8 +11,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from html import unescape
 from html.entities import html5
-from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -55,13 +55,13 @@ PIECES: dict[str, re.Pattern] = {
     "markdown": re.compile(
         r"^ {0,3}(?:\#{1,6}[ \t]+\S|>[ \t]+\S|>$|```|~~~)|^\|?[ \t]*:?-{3,}:?[ \t]*\||^[ \t]*\|(?![-}|])[^\n]*[^|\s][ \t]*\|[ \t]*$"
         r"|(?<!\*)\*{2,3}(?=[^\s*])|(?<=[^\s*])\*{2,3}(?!\*)|(?<![\w_])_{2,3}(?=[^\W_])(?![A-ZÀ-Þ]+__)|(?<=[^\W_])__(?![\w_])(?<!__[A-ZÀ-Þ]__)"
-        r"|!?\[[^\]\n]*\]\(\S|\]\((?:https?:|/)|\[\^\w+\]|(?<!`)`[^`\n]+`(?!`)|~~(?=\S)[^~\n]+~~|(?<![\w*\\])\*[^\s*][^*\n]{0,300}[^\s*]\*(?![\w*])"
+        r"|!?\[[^\[\]\n]*\]\(\S|\]\((?:https?:|/)|\[\^\w+\]|(?<!`)`[^`\n]+`(?!`)|~~(?=\S)[^~\n]+~~|(?<![\w*\\])\*[^\s*][^*\n]{0,300}[^\s*]\*(?![\w*])"
         r"|(?<![\w_\\])_[^\s_][^_\n]{0,300}[^\s_]_(?![\w_])",
         re.M,
     ),
     "wiki": re.compile(
         r"\[\[|(?<=\w)\]\]|\{\{(?=[^\W\d_]|\#)|(?<![\w'])'{2,5}(?=\w)|(?<=[^\s'])'{2,5}(?![\w'])|^={2,6}[ \t]*[^=\s]"
-        r"|^\{\||^\|\}|^\|-[ \t]*(?:$|\w+=)|^!.*!!|^\|[^\n]*\|\||__[A-ZÀ-Þ]{3,}__|</?(?:nowiki|ref)\b|~~~~|\[https?://\S+ [^\]\n]+\]",
+        r"|^\{\||^\|\}|^\|-[ \t]*(?:$|\w+=)|^!.*!!|^\|[^\n]*\|\||__[A-ZÀ-Þ]{3,}__|</?(?:nowiki|ref)\b|~~~~|\[https?://[^\s\[\]]+ [^\[\]\n]+\]",
         re.M,
     ),
     "latex": re.compile(
@@ -99,7 +99,7 @@ def kinds_of(text: str) -> list[str]:
 
 
 # Signs of the private area mark lines of structure until the end; a text that uses them keeps its own.
-HEAD, ITEM, ROW, CODE, FORMULA, HOLD, HELD = "\ue010", "\ue018", "\ue019", "\ue01a", "\ue01b", "\ue01e", "\ue01f"
+HEAD, ITEM, ROW, CODE, FORMULA, SET, HOLD, HELD = "\ue010", "\ue018", "\ue019", "\ue01a", "\ue01b", "\ue01d", "\ue01e", "\ue01f"
 NAMES = {ITEM: "item", ROW: "row", CODE: "code", FORMULA: "formula"}
 _MARKS = re.compile("[\ue010-\ue01f]")
 
@@ -126,6 +126,22 @@ class _Shelf:
         return text
 
 
+def between(text: str, opener: re.Pattern, closer, make) -> str:
+    """``text`` with every stretch from an opener to its nearest closer (a pattern that ``closer`` gives for the opener's
+    match) replaced by make(match, body). A closer that doesn't come any more is looked for once, so the time stays linear."""
+    out: list[str] = []
+    at, missing = 0, set()
+    for m in opener.finditer(text):
+        if m.start() < at or (end_of := closer(m)) in missing:
+            continue
+        if (end := end_of.search(text, m.end())) is None:
+            missing.add(end_of)
+            continue
+        out += [text[at : m.start()], make(m, text[m.end() : end.start()])]
+        at = end.end()
+    return "".join((*out, text[at:])) if out else text
+
+
 _SUPER = str.maketrans("0123456789+-n", "⁰¹²³⁴⁵⁶⁷⁸⁹⁺⁻ⁿ")
 _BRACED = r"\{((?:[^{}]|\{(?:[^{}]|\{[^{}]*\})*\})*)\}"
 
@@ -151,12 +167,18 @@ def formula(body: str) -> str:
 _HEADS = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 5}
 
 
+_VERBATIM = re.compile(r"\\begin\{(verbatim|lstlisting)\}(?:\[[^\[\]]*\])?")
+_DISPLAY = re.compile(r"\$\$|\\\[|\\begin\{((?:equation|align|gather|displaymath|math)\*?)\}")
+_INLINE = re.compile(r"\\\(")
+_ENVIRONMENTS = ("verbatim", "lstlisting", *(e + star for e in ("equation", "align", "gather", "displaymath", "math") for star in ("", "*")))
+_END = {e: re.compile(re.escape(f"\\end{{{e}}}")) for e in _ENVIRONMENTS} | {a: re.compile(re.escape(b)) for a, b in (("$$", "$$"), ("\\[", "\\]"), ("\\(", "\\)"))}
+
+
 def from_latex(text: str, shelf: _Shelf) -> str:
-    text = re.sub(r"\\begin\{(verbatim|lstlisting)\}(?:\[[^\]]*\])?(.*?)\\end\{\1\}", lambda m: shelf.put(_code_lines(m[2])), text, flags=re.S)
+    text = between(text, _VERBATIM, lambda m: _END[m[1]], lambda m, body: shelf.put(_code_lines(body)))
     text = _PATH.sub(lambda m: shelf.put(m[0]), text)
-    display = r"\$\$(.+?)\$\$|\\\[(.+?)\\\]|\\begin\{(equation|align|gather|displaymath|math)(\*?)\}(.*?)\\end\{\3\4\}"
-    text = re.sub(display, lambda m: "\n" + FORMULA + formula(next(x for x in (m[1], m[2], m[5]) if x is not None)) + "\n", text, flags=re.S)
-    text = re.sub(r"\\\((.+?)\\\)", lambda m: formula(m[1]), text, flags=re.S)
+    text = between(text, _DISPLAY, lambda m: _END[m[1] or m[0]], lambda m, body: f"\n{FORMULA}{formula(body)}\n" if body else "")
+    text = between(text, _INLINE, lambda m: _END[m[0]], lambda m, body: formula(body))
     text = re.sub(r"(?<![\\$])\$(?=[^$\n]*[\\^_={])([^$\n]{1,300})\$", lambda m: formula(m[1]), text)
     text = re.sub(r"``([^`'\n]{1,300})''", r"“\1”", text)
     text = re.sub(r"\\begin\{(?:tabular|array|tabularx|longtable)\*?\}(?:\[[^\]]*\])?(?:\{[^{}]*\})*", "\n", text)
@@ -191,156 +213,254 @@ _BLOCK = set("address article aside blockquote body caption center dd details di
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "score")
+    """An element with its children; its text is data[first:last] of the tree. Counts include all descendants."""
+
+    __slots__ = ("tag", "parent", "children", "first", "last", "score", "chars", "linked", "links", "commas", "standing")
+
+    def __init__(self, tag: str, parent: Node | None, first: int = 0):
+        self.tag, self.parent, self.children, self.first, self.last = tag, parent, [], first, first
+        self.score, self.chars, self.linked, self.links, self.commas, self.standing = 0.0, 0, 0, 0, 0, 0
 
-    def __init__(self, tag: str, parent: Node | None):
-        self.tag, self.parent, self.children, self.score = tag, parent, [], 0.0
+    @property
+    def navigates(self) -> bool:
+        """Whether a block consists of links: several of them, and hardly any text beside."""
+        return self.tag in _BLOCK and self.links >= 2 and self.linked > 0.6 * self.chars and self.commas < self.links
 
-    def text(self) -> str:
-        return "".join(c if isinstance(c, str) else c.text() for c in self.children)
 
-    def link_chars(self) -> int:
-        return sum(0 if isinstance(c, str) else len(c.text()) if c.tag == "a" else c.link_chars() for c in self.children)
+#: A tag; its attributes don't matter. A quote without an end stands for itself.
+_TAG = re.compile(r"<(/?)([A-Za-z][\w:-]*)(?:(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+|[^<>\n]*+)>")
 
 
-class _Tree(HTMLParser):
+class _Tree:
+    """``nodes`` in document order, so that going through them backwards meets children before parents: no pass recurses,
+    however deep a page is nested."""
+
     def __init__(self):
-        super().__init__(convert_charrefs=True)
         self.root = self.at = Node("#root", None)
+        self.nodes, self.data = [self.root], []
+
+    def feed(self, text: str) -> None:
+        at = 0
+        for m in _TAG.finditer(text):
+            self._text(text[at : m.start()])
+            at = m.end()
+            if m[1]:
+                self._end(m[2].lower())
+            elif m[0][-2] == "/":
+                self._open(m[2].lower())
+            else:
+                self._begin(m[2].lower())
+        self._text(text[at:])
 
-    def handle_starttag(self, tag, attrs):
+    def _open(self, tag: str) -> Node:
+        node = Node(tag, self.at, len(self.data))
+        self.at.children.append(node)
+        self.nodes.append(node)
+        return node
+
+    def _begin(self, tag: str) -> None:
         if tag in ("p", "li", "tr", "td", "th", "dt", "dd", "option"):
             self._leave({"p"} if tag == "p" else {tag, "p"} if tag in ("li", "dt", "dd") else {tag})
-        node = Node(tag, self.at)
-        self.at.children.append(node)
+        node = self._open(tag)
         if tag not in _VOID:
             self.at = node
 
     def _leave(self, tags: set[str]) -> None:
         up = self.at
-        while up.parent is not None and up.tag not in ("table", "ul", "ol", "dl", "div", "body", "blockquote"):
+        for _ in range(NEAR):
+            if up.parent is None or up.tag in ("table", "ul", "ol", "dl", "div", "body", "blockquote"):
+                return
             if up.tag in tags:
                 self.at = up.parent
                 return
             up = up.parent
 
-    def handle_startendtag(self, tag, attrs):
-        self.at.children.append(Node(tag, self.at))
-
-    def handle_endtag(self, tag):
+    def _end(self, tag: str) -> None:
         up = self.at
-        while up is not None and up.tag != tag:
+        for _ in range(NEAR):
+            if up is None or up.tag == tag:
+                break
             up = up.parent
-        if up is not None and up.parent is not None:
+        if up is not None and up.tag == tag and up.parent is not None:
             self.at = up.parent
 
-    def handle_data(self, data):
-        self.at.children.append(data)
-
-
-def _paragraphs(node: Node) -> Iterator[tuple[Node, str]]:
-    """(container, text) of each paragraph: text lines under a block, inline elements included."""
-    inline: list[str] = []
-    for child in [*node.children, None]:
-        if isinstance(child, str):
-            inline.append(child)
-        elif child is not None and child.tag not in _BLOCK:
-            if child.tag not in _SKIPPED:
-                inline.append("\n" if child.tag == "br" else child.text())
-        else:
-            for line in "".join(inline).split("\n"):
-                if line.strip():
-                    yield node, line.strip()
-            inline = []
-            if child is not None:
-                yield from _paragraphs(child)
+    def _text(self, data: str) -> None:
+        if data:
+            self.at.children.append(data := unescape(data))
+            self.data.append(data)
+
+    def text(self, node: Node) -> str:
+        return "".join(self.data[node.first : node.last])
+
+    def finish(self) -> None:
+        """Extents and counts of all nodes, from the leaves up."""
+        for node in reversed(self.nodes):
+            for c in node.children:
+                if isinstance(c, str):
+                    node.chars += len(c)
+                    node.commas += c.count(",")
+                else:
+                    node.chars += c.chars
+                    node.linked += c.linked
+                    node.links += c.links
+                    node.commas += c.commas
+            if node.tag == "a":
+                node.linked, node.links = node.chars, 1
+        at = 0
+        for node, begins in self.walk():
+            if isinstance(node, str):
+                at += 1
+            elif begins:
+                node.first = at
+            else:
+                node.last = at
+
+    def walk(self, node: Node | None = None) -> Iterator[tuple[Node | str, bool]]:
+        """(node, begins) at its begin and at its end, and the texts between, in document order."""
+        stack: list[tuple[Node, Iterator]] = [(node or self.root, iter((node or self.root).children))]
+        yield stack[0][0], True
+        while stack:
+            child = next(stack[-1][1], None)
+            if child is None:
+                yield stack.pop()[0], False
+            elif isinstance(child, str):
+                yield child, True
+            else:
+                stack.append((child, iter(child.children)))
+                yield child, True
+
+
+#: An end tag closes an element that many levels up at most; beyond, it is taken as stray.
+NEAR = 500
+
+
+def _paragraphs(tree: _Tree) -> Iterator[tuple[Node, str, int]]:
+    """(container, text, characters in links) of each paragraph: text lines under a block, inline elements included."""
+    runs: list[tuple[Node, list[str]]] = []
+    skipped = linking = linked = 0
+
+    def flush() -> Iterator[tuple[Node, str, int]]:
+        nonlocal linked
+        container, run = runs[-1]
+        share = linked
+        for line in "".join(run).split("\n"):
+            if line := line.strip():
+                yield container, line, min(share, len(line))
+                share = max(0, share - len(line))
+        run.clear()
+        linked = 0
+
+    for node, begins in tree.walk():
+        if isinstance(node, str):
+            if not skipped:
+                runs[-1][1].append(node)
+                linked += len(node) if linking else 0
+            continue
+        step = 1 if begins else -1
+        if node.tag in _SKIPPED:
+            skipped += step
+        elif node.tag == "a":
+            linking += step
+        elif node.tag == "br" and begins and runs and not skipped:
+            runs[-1][1].append("\n")
+        elif node.tag in _BLOCK or node.parent is None:
+            if runs:
+                yield from flush()
+            if begins:
+                runs.append((node, []))
+            else:
+                runs.pop()
 
 
-def score_tree(root: Node) -> Node:
-    """Points of all containers; returns the best."""
+def score_tree(tree: _Tree) -> Node:
+    """Points of all containers; returns the best. A paragraph's points for its length and commas pass to its ancestors,
+    halved at each level; a container's are discounted by its link density."""
     seen: dict[int, Node] = {}
-    for container, line in _paragraphs(root):
+    for container, line, linked in _paragraphs(tree):
         points = 1 + line.count(",") + min(len(line) / 100, 3)
+        if linked <= len(line) / 2:
+            container.standing += len(line)
         share, up = 1.0, container
         while up is not None and share > 0.05:
             up.score += points * share
             seen[id(up)] = up
             share, up = share / 2, up.parent
-    best, most = root, 0.0
+    best, most = tree.root, 0.0
     for node in seen.values():
-        chars = len(node.text())
-        value = node.score * (1 - node.link_chars() / chars) if chars else 0.0
+        value = node.score * (1 - node.linked / node.chars) if node.chars else 0.0
         if value > most:
             best, most = node, value
+    for node in reversed(tree.nodes):  # text that stands for itself, outside blocks of links
+        if node.navigates:
+            node.standing = 0
+        if node.parent is not None:
+            node.parent.standing += node.standing
     return best
 
 
-def _navigation(node: Node) -> bool:
-    """Whether a block consists of links: several of them, and hardly any text beside."""
-    chars = len(re.sub(r"\s+", "", node.text()))
-    links = sum(1 for _ in _links(node))
-    return links >= 2 and chars > 0 and node.link_chars() / max(1, len(node.text())) > 0.6 and node.text().count(",") < links
-
-
-def _links(node: Node) -> Iterator[Node]:
-    for child in node.children:
-        if not isinstance(child, str):
-            if child.tag == "a":
-                yield child
-            else:
-                yield from _links(child)
-
-
-def _kept(best: Node) -> tuple[Node, set[int]]:
-    """The node to render (the root), and the blocks to leave out: link blocks beside or above the best."""
-    out: set[int] = set()
-    up = best
-    while up.parent is not None:
-        out |= {id(s) for s in up.parent.children if not isinstance(s, str) and s is not up and s.tag in _BLOCK and _navigation(s)}
-        up = up.parent
-    out |= {id(s) for s in best.children if not isinstance(s, str) and s.tag in _BLOCK and _navigation(s)}
-    return up, out
-
-
-def _render(node: Node, left_out: set[int], shelf: _Shelf, listed: str = "") -> str:
-    parts: list[str] = []
-    number = 0
-    for child in node.children:
-        if isinstance(child, str):
-            parts.append(child)
+def kept(tree: _Tree) -> Node:
+    """What is rendered: the best container and its siblings, that is its parent's children, without those that consist of
+    links. Where paragraphs stand farther outside it is widened level by level until all are within, as pages are mostly
+    fragments of acts and their heads or signatures often lie beside the container of the articles."""
+    best = score_tree(tree)
+    while best.parent is not None and best.parent.parent is not None and best.parent.standing < tree.root.standing:
+        best = best.parent
+    return best.parent or best
+
+
+def render(tree: _Tree, top: Node, shelf: _Shelf) -> str:
+    """``top`` as text with marks of structure; an explicit stack holds (node, listed, parts, children, items so far)."""
+    stack: list[list] = [[top, top.tag, [], iter(top.children), 0]]
+    while True:
+        node, listed, parts, children, number = stack[-1]
+        child = next(children, None)
+        if child is None:
+            stack.pop()
+            inner = "".join(parts)
+            if not stack:
+                return inner
+            stack[-1][2].append(_element(node, inner, stack[-1]))
+        elif isinstance(child, str):
+            if node.tag != "tr" or not any(not isinstance(c, str) and c.tag in ("td", "th") for c in node.children):
+                parts.append(child)
+        elif child.tag in _SKIPPED or child.navigates:
             continue
-        tag = child.tag
-        if tag in _SKIPPED or id(child) in left_out:
-            continue
-        if tag == "br":
-            parts.append("\n")
-        elif tag == "hr":
-            parts.append("\n\n")
-        elif tag == "pre":
-            parts.append(shelf.put(_code_lines(child.text())))
-        elif tag == "tr":
-            cells = [c for c in child.children if not isinstance(c, str) and c.tag in ("td", "th")]
-            row = "\t".join(re.sub(r"\s+", " ", _render(c, left_out, shelf)).strip() for c in cells)
-            parts.append(f"\n{ROW}{row}\n" if cells else "\n" + _render(child, left_out, shelf) + "\n")
-        elif tag == "li":
-            number += 1
-            lead = f"{number}. " if listed == "ol" else ""
-            parts.append(f"\n{ITEM}{lead}{_render(child, left_out, shelf).strip()}\n")
-        elif tag in ("sup", "sub"):
-            inner = _render(child, left_out, shelf)
-            parts.append(inner.translate(_SUPER) if tag == "sup" and inner.strip().isdigit() else inner)
-        elif re.fullmatch("h[1-6]", tag):
-            inner = re.sub(r"\s+", " ", _render(child, left_out, shelf)).strip()
-            parts.append(f"\n{HEAD}{tag[1]}{inner}\n" if inner else "\n")
+        elif child.tag in ("br", "hr"):
+            parts.append("\n" if child.tag == "br" else "\n\n")
+        elif child.tag == "pre":
+            parts.append(shelf.put(_code_lines(tree.text(child))))
         else:
-            inner = _render(child, left_out, shelf, tag)
-            parts.append(f"\n{inner}\n" if tag in _BLOCK else inner)
-    return "".join(parts)
+            stack.append([child, child.tag, [], iter(child.children), 0])
+
+
+def _element(node: Node, inner: str, above: list) -> str:
+    """An element's text with its marks, given what stands inside."""
+    tag = node.tag
+    if tag in ("td", "th"):
+        cell = re.sub(r"\s+", " ", inner).strip()
+        above[4] += 1
+        return cell if above[4] == 1 else "\t" + cell
+    if tag == "tr":
+        cells = any(not isinstance(c, str) and c.tag in ("td", "th") for c in node.children)
+        return f"\n{ROW}{inner}\n" if cells else f"\n{inner}\n"
+    if tag == "li":
+        above[4] += 1
+        lead = f"{above[4]}. " if above[1] == "ol" else ""
+        return f"\n{ITEM}{lead}{inner.strip()}\n"
+    if tag in ("sup", "sub"):
+        return inner.translate(_SUPER) if tag == "sup" and inner.strip().isdigit() else inner
+    if re.fullmatch("h[1-6]", tag):
+        inner = re.sub(r"\s+", " ", inner).strip()
+        return f"\n{HEAD}{tag[1]}{inner}\n" if inner else "\n"
+    return f"\n{inner}\n" if tag in _BLOCK else inner
 
 
 def from_html(text: str, shelf: _Shelf) -> str:
-    fenced = re.compile(r"(<pre\b.*?</pre>)", re.I | re.S)
-    parts = fenced.split(text)
+    text = between(text, _COMMENT, lambda m: _COMMENT_END, lambda m, body: "")
+    text = re.sub(r"<!(?:doctype\b[^<>\n]*>?|--)?", "", text, flags=re.I)  # declarations, and comments without an end
+    codes: list[str] = []
+    text = between(text, _PRE, lambda m: _PRE_END, lambda m, body: codes.append(f"{m[0]}{body}</pre>") or SET)
+    parts = [x for i, part in enumerate(text.split(SET)) for x in ((codes[i - 1], part) if i else (part,))]
     escaped = re.compile(rf"&lt;(/?(?:{_ANY})\b(?:(?!&gt;|&lt;).){{0,200}})&gt;", re.I | re.S)
     # Outside code, escaped tags are tags; a bracket that begins no element is text; cut-off tags end at their line.
     for i in range(0, len(parts), 2):
@@ -349,9 +469,12 @@ def from_html(text: str, shelf: _Shelf) -> str:
         parts[i] = re.sub(r"<(/?[A-Za-z][^<>\n]*)(?=\n|\Z)", lambda m: m[0] if _closes(m) else "", part)
     tree = _Tree()
     tree.feed("".join(parts))
-    tree.close()
-    top, left_out = _kept(score_tree(tree.root))
-    return re.sub(r"\n{3,}", "\n\n", _render(top, left_out, shelf)).replace("-->", "")
+    tree.finish()
+    return re.sub(r"\n{3,}", "\n\n", render(tree, kept(tree), shelf)).replace("-->", "")
+
+
+_COMMENT, _COMMENT_END = re.compile("<!--"), re.compile("-->")
+_PRE, _PRE_END = re.compile(r"<pre\b", re.I), re.compile("</pre>", re.I)
 
 
 def _closes(m: re.Match) -> bool:
@@ -369,22 +492,25 @@ def _template(m: re.Match) -> str:
     return fields[-1].strip() if fields else ""
 
 
+_NOWIKI, _NOWIKI_END = re.compile("<nowiki>", re.I), re.compile("</nowiki>", re.I)
+
+
 def from_wiki(text: str) -> str:
-    text = re.sub(r"<nowiki>(.*?)</nowiki>", r"\1", text, flags=re.S | re.I)
-    text = re.sub(r"<ref\b[^>]*/>|</?ref\b[^>]*>", " ", text, flags=re.I)
+    text = between(text, _NOWIKI, lambda m: _NOWIKI_END, lambda m, body: body)
+    text = re.sub(r"<ref\b[^<>]*/>|</?ref\b[^<>]*>", " ", text, flags=re.I)
     for _ in range(8):
         after = re.sub(r"\{\{([^{}]*)\}\}", _template, text)
         if after == text:
             break
         text = after
     text = re.sub(r"\{\{\s*(?:[^|{}\n]*\|)?", "", text).replace("}}", "")
-    text = re.sub(r"\[\[(?:[Cc]at[ée]gor(?:ie|y)|[Cc]ategoria)\s*:\s*([^\]|\n]*)[^\]\n]*\]\]", r"\1", text)
-    text = re.sub(r"\[\[(?:Fichier|File|Image|Ficheiro)\s*:[^\]\n]*?\|?([^\]|\n]*)\]\]", r"\1", text)
-    text = re.sub(r"\[\[(?:[^\]|\n]*\|)?([^\]\n]*)\]\]", r"\1", text)
-    text = re.sub(r"\[https?://\S+ ([^\]\n]+)\]", r"\1", text)
+    text = re.sub(r"\[\[(?:[Cc]at[ée]gor(?:ie|y)|[Cc]ategoria)\s*:\s*([^\[\]|\n]*)[^\[\]\n]*\]\]", r"\1", text)
+    text = re.sub(r"\[\[(?:Fichier|File|Image|Ficheiro)\s*:(?:[^\[\]\n]*\|)?([^\[\]|\n]*)\]\]", r"\1", text)
+    text = re.sub(r"\[\[(?:[^\[\]|\n]*\|)?([^\[\]\n]*)\]\]", r"\1", text)
+    text = re.sub(r"\[https?://[^\s\[\]]+ ([^\[\]\n]+)\]", r"\1", text)
     text = text.replace("[[", "").replace("]]", "")
     text = re.sub(r"(?<![\w'])'{2,5}(?=\w)|(?<=[^\s'])'{2,5}(?![\w'])", "", text)
-    text = re.sub(r"(?m)^(={2,6})[ \t]*([^=\n].*?)[ \t]*(?:={2,6})?[ \t]*$", lambda m: f"{HEAD}{len(m[1])}{m[2]}", text)
+    text = re.sub(r"(?m)^(={2,6})(?=[ \t]*[^=\s])(.*)$", lambda m: f"{HEAD}{len(m[1])}{_without_end(m[2], '=', 6)}", text)
     text = re.sub(r"__[A-ZÀ-Þ]{3,}__|~{3,5}", "", text)
     lines, inside = [], "{|" in text or "\n|-" in text or text.startswith("|-")
     for line in text.split("\n"):
@@ -397,17 +523,24 @@ def from_wiki(text: str) -> str:
     return "\n".join(lines)
 
 
+def _without_end(line: str, sign: str, most: int) -> str:
+    """A heading without the signs, up to ``most`` of at least two, that close it."""
+    line = line.strip(" \t")
+    bare = line.rstrip(sign)
+    return bare.rstrip(" \t") if len(line) - len(bare) <= most else line
+
+
 def from_markdown(text: str, shelf: _Shelf) -> str:
     text = re.sub(r"(?m)^ {0,3}(?:```|~~~)[^\n]*\n(.*?)(?:^ {0,3}(?:```|~~~)[ \t]*$|\Z)", lambda m: shelf.put(_code_lines(m[1])), text, flags=re.S | re.M)
     text = re.sub(r"(?m)^ {0,3}(?:```|~~~).*$\n?", "", text)
     text = re.sub(r"(?<!`)`([^`\n]+)`(?!`)", lambda m: shelf.put(m[1]), text)
     text = re.sub(r"(?m)^(?: {0,3}> ?)+", "", text)
-    text = re.sub(r"!\[([^\]\n]*)\]\([^)\n]*\)?", r"\1", text)
-    text = re.sub(r"\[([^\]\n]*)\]\([^)\n]*\)?", r"\1", text)
+    text = re.sub(r"!\[([^\[\]\n]*)\]\([^)\n]*\)?", r"\1", text)
+    text = re.sub(r"\[([^\[\]\n]*)\]\([^)\n]*\)?", r"\1", text)
     text = re.sub(r"\]\((?:https?:|/)[^)\s]*\)?", "", text)
     text = re.sub(r"(?m)^\[\^(\w+)\]:[ \t]*", r"[\1] ", text)
     text = re.sub(r"\[\^(\w+)\]", r"[\1]", text)
-    text = re.sub(r"(?m)^ {0,3}(#{1,6})[ \t]+(.*?)[ \t]*#*[ \t]*$", lambda m: f"{HEAD}{len(m[1])}{m[2]}", text)
+    text = re.sub(r"(?m)^ {0,3}(#{1,6})[ \t](.*)$", lambda m: f"{HEAD}{len(m[1])}{_without_end(m[2], '#', len(m[2]))}", text)
     text = re.sub(r"(?m)^[ \t]*\|?(?:[ \t]*:?-+:?[ \t]*\|)+(?:[ \t]*:?-+:?)?[ \t]*$\n?", "", text)
     row = r"(?m)^[ \t]*\|(?![-}|])([^\n]*[^|\s])[ \t]*\|[ \t]*$"
     text = re.sub(row, lambda m: ROW + "\t".join(c.strip() for c in m[1].split("|")), text)
@@ -418,6 +551,10 @@ def from_markdown(text: str, shelf: _Shelf) -> str:
     return re.sub(r"\\([*_#\[\]()>`~])", r"\1", text)
 
 
+_FENCE = re.compile(r"(?m)^ {0,3}(```|~~~)[^\n]*\n")
+_FENCE_END = {f: re.compile(rf"(?m)^ {{0,3}}{f}[ \t]*$") for f in ("```", "~~~")}
+
+
 def clean(text: str) -> tuple[str, list[dict], list[str]]:
     """(clean text, spans of structure, markup kinds) of one page."""
     kinds = kinds_of(text)
@@ -425,7 +562,7 @@ def clean(text: str) -> tuple[str, list[dict], list[str]]:
         return text, [], []
     shelf, out = _Shelf(), _MARKS.sub("", text)
     if "markdown" in kinds:  # code first, so that nothing in it is read as markup
-        out = re.sub(r"(?m)^ {0,3}(```|~~~)[^\n]*\n(.*?)^ {0,3}\1[ \t]*$", lambda m: shelf.put(_code_lines(m[2])), out, flags=re.S | re.M)
+        out = between(out, _FENCE, lambda m: _FENCE_END[m[1]], lambda m, body: shelf.put(_code_lines(body)))
     if "latex" in kinds:
         out = from_latex(out, shelf)
     if "html" in kinds:
@@ -469,25 +606,38 @@ def _spans(text: str) -> tuple[str, list[dict]]:
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("level", pa.int32()), ("begin", pa.int32()), ("stop", pa.int32())]))
 
 
+def cleaned(text: str | None) -> tuple[str | None, list[dict], list[str], str | None]:
+    """clean() with an error in place of an exception: one page that can't be converted doesn't end the run. Its text stays
+    as it is, and its languages are still those recognised."""
+    if not text:
+        return text, [], [], None
+    try:
+        return *clean(text), None
+    except (RecursionError, ValueError, AssertionError, IndexError, KeyError, re.error) as e:
+        return text, [], kinds_of(text), f"{type(e).__name__}: {e}"
+
+
 def clean_pages(pages: DataFrame) -> DataFrame:
-    """(document_id, page, text, markup, structure) for every row of ``pages``.
+    """(document_id, page, text, markup, structure, error) for every row of ``pages``.
 
     ``markup`` lists the languages found (html, markdown, wiki, latex; empty if none, then the text is
     unchanged), ``structure`` the spans of headings (with level), list items, table rows (cells parted by
-    tabs), code lines (indented by four blanks) and displayed formulas in the clean text. A null text stays
-    null without markup; rows keep their number, repeated ones included; extra columns are ignored.
+    tabs), code lines (indented by four blanks) and displayed formulas in the clean text. ``error`` says why a page could
+    not be converted. A null text stays null without markup; rows keep their number, repeated ones included; extra
+    columns are ignored.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch, "text"):
-                done = [clean(t) if t else (t, [], []) for t in block.column(2).to_pylist()]
+                done = [cleaned(t) for t in block.column(2).to_pylist()]
                 columns = [
                     pa.array([d[0] for d in done], pa.string()),
                     pa.array([d[2] for d in done], pa.list_(pa.string())),
                     pa.array([d[1] for d in done], SPANS),
+                    pa.array([d[3] for d in done], pa.string()),
                 ]
-                yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), *columns], names=["document_id", "page", "text", "markup", "structure"])
+                yield pa.RecordBatch.from_arrays([block.column(0), block.column(1), *columns], names=["document_id", "page", "text", "markup", "structure", "error"])
 
-    schema = "document_id string, page int, text string, markup array<string>, structure array<struct<kind:string,level:int,begin:int,stop:int>>"
+    schema = "document_id string, page int, text string, markup array<string>, structure array<struct<kind:string,level:int,begin:int,stop:int>>, error string"
     return pages.select("document_id", "page", "text").mapInArrow(run, schema)

@@ -1,6 +1,7 @@
 """Each operator on nulls, empty and long texts, ties, repeated rows, empty tables and clashing column names."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,37 @@ def test_link_blocks_are_left_out():
     assert "paragraphe" in text and "trois" not in text
 
 
+@pytest.mark.parametrize(
+    "piece,n",
+    [
+        ("<div>", 5000), ("<b>", 50_000), ("[", 300_000), ("\\begin{verbatim}", 20_000), ("<pre>", 20_000), ("\\[", 100_000), ("<nowiki>", 20_000),
+        ("```a\n", 30_000), ("<a href=\"", 50_000), ("<!--", 50_000), ("[[", 100_000), ("\\frac{", 10_000),
+    ],
+)
+def test_markup_of_hostile_pages(piece, n):
+    """No page is too deep or too repetitive: the passes neither recurse nor look ahead to the end again and again."""
+    began = time.time()
+    text, _, _, error = markup.cleaned("avant " + piece * n + " après")
+    assert error is None and text.startswith("avant") and time.time() - began < 20
+
+
+def test_the_best_container_is_kept():
+    body = "<p>Article 1. Le maire publie, affiche et notifie le registre, sans délai.</p>" * 4
+    links = "<ul><li><a href=x>Accueil</a></li><li><a href=y>Recherche</a></li></ul>"
+    inside = f"<div>{links}<div><div>{links}{body}</div><div>Le maire, signé</div></div><div>{links}</div></div>"
+    text = markup.clean(inside)[0]
+    assert "Accueil" not in text and text.count("Article 1") == 4 and "signé" in text
+    assert "Loi du pays" in markup.clean(f"<div><h1>Loi du pays</h1><div>{inside}</div></div>")[0]  # text outside is kept too
+
+
+def test_a_page_that_fails_is_a_row_with_an_error(spark, monkeypatch):
+    def fail(text):
+        raise ValueError("no")
+
+    monkeypatch.setattr(markup, "clean", fail)
+    assert markup.cleaned("<p>a</p>") == ("<p>a</p>", [], ["html"], "ValueError: no")
+
+
 def test_markup_rows(spark):
     schema = "document_id string, page int, text string"
     rows = [("a", 1, None), ("a", 2, ""), ("a", 3, "<b>x</b>"), ("a", 3, "<b>x</b>"), (None, None, "plain")]
