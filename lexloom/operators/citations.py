@@ -1,4 +1,9 @@
-"""Citations between acts: found by patterns, resolved through a reference index, applied to their targets."""
+"""Citations between acts: found by a small grammar, resolved through a reference index, applied to their targets.
+
+An act is named by a kind and a number. A relation stands before it (``abroge le décret n° 58-2``) or, in the passive,
+behind it (``le décret n° 58-2 est abrogé``). Where an agent follows, ``par la loi ...``, it is that agent which acts and
+not the document, so nothing is found.
+"""
 
 from __future__ import annotations
 
@@ -6,29 +11,73 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexloom.functions.numbers import reference
 
-# Words that introduce a relation, and the order of the states that relations induce.
-_ACT = "(?:loi|d[ée]cret|arr[êe]t[ée]|ordonnance)\\s+n[°º]?\\s*[0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4}"
-PATTERNS = {
-    "cite": f"(?i)\\bvu\\s+(?:la\\s+|le\\s+|l['’])?({_ACT})",
-    "modifie": f"(?i)\\bmodifi(?:e|ant)\\s+(?:la\\s+|le\\s+|l['’])?({_ACT})",
-    "abroge": f"(?i)\\babrog(?:e|eant)\\s+(?:la\\s+|le\\s+|l['’])?({_ACT})",
-    "remplace": f"(?i)\\bremplac(?:e|ant)\\s+(?:la\\s+|le\\s+|l['’])?({_ACT})",
-}
+# Kinds of acts, relations with the stems of their verbs, the state a relation gives its target, and the
+# order of states.
+CITED_KINDS = ("loi", "décret", "arrêté", "ordonnance", "code", "constitution", "décision", "convention", "accord")
+VERBS = {"modifie": "modifi", "abroge": "abrog", "remplace": "remplac", "complete": "complét"}
+RELATIONS = ("cite", *VERBS, "abroge_partiellement", "applique")
+STATE_OF = {"abroge": "abroge", "abroge_partiellement": "partiellement_abroge", "remplace": "remplace", "modifie": "modifie"}
 SEVERITY = ("inconnu", "en_vigueur", "modifie", "partiellement_abroge", "remplace", "abroge")
 
 
+def _loose(word: str) -> str:
+    """A pattern for ``word`` that takes its accents as optional."""
+    plain = {"é": "[ée]", "ê": "[êe]", "à": "[àa]", "è": "[èe]"}
+    return "".join(plain.get(c, c) for c in word)
+
+
+_KIND = "(?:" + "|".join(map(_loose, CITED_KINDS)) + ")s?"
+_THE = "(?:(?:la|le|les|du|de\\s+la|des)\\s+|(?:de\\s+)?l['’]\\s*)?"
+_NUMBER = "[0-9]{2,4}\\s*[-–/_]\\s*[0-9]{1,4}"
+ACT = f"{_KIND}(?:\\s+(?:organique|constitutionnelle))?\\s+n[°ºo\"'.]*\\s*{_NUMBER}"
+_AGENT = f"(\\s+par\\s+{_THE}{_KIND})?"
+_BE = "(?:est|sont|demeure|demeurent)\\s+(?:et\\s+\\p{L}+\\s+)?"
+_FILLER = "(?:les\\s+dispositions\\s+|certaines\\s+dispositions\\s+|partiellement\\s+)?"
+
+
+PATTERN_OF_RECITALS = f"(?iu)\\bvu\\s+{_THE}({ACT})"
+
+
+def _patterns() -> list[tuple[str, str, int]]:
+    """(relation, pattern, group of the target); a further group holds what forbids the match: an agent or ``partly``."""
+    out = [("cite", f"(?iu)\\bvu\\s+{_THE}({ACT})()", 1)]
+    out.append(("applique", f"(?iu)\\b(?:pour\\s+l['’]\\s*|en\\s+)application\\s+d[eu]s?\\s+{_THE}({ACT})()", 1))
+    for relation, stem in VERBS.items():
+        stem = _loose(stem)
+        partly = "(partiellement\\s+)?" if relation == "abroge" else "()"
+        # Active forms only: a participle with an agent has "par" behind it and so no act in this place.
+        out.append((relation, f"(?iu)\\b{stem}(?:e|ent|ant|eant|ation)\\s+{partly}(?:(?:les|certaines)\\s+dispositions\\s+)?{_THE}({ACT})", 2))
+        behind = f"({ACT})\\s+{_BE}{stem}[ée]e?s?{_AGENT}"
+        out.append((relation, f"(?iu)(?:\\bl['’]\\s*article\\s+[0-9]+\\s+)?{behind}" if relation != "abroge" else f"(?iu)(?:^|[^\\p{{L}}])(?:article\\s+[0-9]+\\s+{_THE})?{behind}", 1))
+    stem = _loose(VERBS["abroge"])
+    out.append(("abroge_partiellement", f"(?iu)\\b{stem}(?:e|ent|eant)\\s+partiellement\\s+{_THE}({ACT})()", 1))
+    return out
+
+
+_PARTLY = f"(?iu)\\bl['’]\\s*article\\s+[0-9]+\\s+{_THE}({ACT})\\s+{_BE}{_loose(VERBS['abroge'])}[ée]e?s?{_AGENT}"
+
+
+def relations_in(text: Column) -> Column:
+    """Array of struct(relation, target) of a text, in one expression."""
+    anything = text.rlike(f"(?iu){ACT}")
+
+    def hits(relation: str, pattern: str, target: int) -> Column:
+        names, forbidden = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (target, 3 - target))
+        free = F.filter(F.arrays_zip(names.alias("t"), forbidden.alias("f")), lambda x: x["f"] == "")
+        return F.transform(free, lambda x: F.struct(F.lit(relation).alias("relation"), x["t"].alias("target")))
+
+    found = F.concat(*[hits(*p) for p in _patterns()], hits("abroge_partiellement", _PARTLY, 1))
+    # An article of an act that is repealed is a partial repeal of the act.
+    partly = F.transform(F.filter(found, lambda x: x["relation"] == "abroge_partiellement"), lambda x: x["target"])
+    whole = F.filter(found, lambda x: ~((x["relation"] == "abroge") & F.array_contains(partly, x["target"])))
+    return F.when(anything, whole)
+
+
 def citations(pages: DataFrame, text: str = "text") -> DataFrame:
     """(document_id, relation, target_reference, kind, number, page): each relation and target once per document,
-    where it first stands."""
-    found = [
-        pages.select("document_id", "page", F.lit(name).alias("relation"), F.explode_outer(F.regexp_extract_all(F.col(text), F.lit(p), F.lit(1))).alias("target"))
-        for name, p in PATTERNS.items()
-    ]
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.union(more)
-    rows = rows.filter("target is not null and target <> ''").withColumn("key", F.lower("target"))
-    first = rows.groupBy("document_id", "relation", "key").agg(F.min(F.struct("page", "target")).alias("f"))
+    where it first stands. Repeated page rows change nothing."""
+    rows = pages.select("document_id", "page", F.explode(relations_in(F.col(text))).alias("x")).select("document_id", "page", "x.*")
+    first = rows.groupBy("document_id", "relation", F.lower("target").alias("key")).agg(F.min(F.struct("page", "target")).alias("f"))
     first = first.select("document_id", "relation", F.col("f.target").alias("target_reference"), F.col("f.page").alias("page"))
     return first.withColumn("r", reference(F.col("target_reference"))).select("document_id", "relation", "target_reference", "r.kind", "r.number", "page")
 
@@ -69,6 +118,13 @@ def strongest(edges: DataFrame, target: str, status: str, confidence: str) -> Da
     return ranked.groupBy(target).agg(F.max("_s").alias("m")).select(target, F.col("m.v").alias(status), F.col("m.c").alias(confidence))
 
 
+def induced(resolved: DataFrame) -> DataFrame:
+    """(target, state, confidence): what the resolved relations of other acts make of an act."""
+    state = F.create_map(*[F.lit(x) for pair in STATE_OF.items() for x in pair])
+    edges = resolved.filter("outcome = 'resolved'").withColumn("state", F.try_element_at(state, F.col("relation"))).filter("state is not null")
+    return strongest(edges.select("target", "state", "confidence"), "target", "state", "confidence")
+
+
 def versions(df: DataFrame, group: list[str], *order: str) -> DataFrame:
     """Rows of groups of two or more with ``version`` from 1 in the given order (nulls first)."""
     w = Window.partitionBy(*group).orderBy(*[F.col(o).asc_nulls_first() for o in order])

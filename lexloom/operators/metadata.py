@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lexloom.functions.numbers import MONTHS, lookup, same_number, written_date
 from lexloom.functions.text import fold
+from lexloom.operators.references import ARTICLE_LINE, without_citations
 
 # Kinds of acts, the words that announce them, and the fields that make an act complete.
 TYPE_WORDS = {
@@ -25,40 +26,57 @@ def first_field(*candidates: Column) -> Column:
     return F.coalesce(*candidates)
 
 
+def head(text: Column) -> Column:
+    """The text before the first article; all of it where there is none."""
+    return F.get(F.split(text, f"(?m){ARTICLE_LINE}", 2), 0)
+
+
 def act_type(text: Column, category: Column, name: Column) -> Column:
-    """Kind whose word stands first in the head of the text, else the folder's, else the file name's, else the first in the
-    whole text: far behind the head such words are mostly other acts or ordinary words."""
+    """Kind whose word stands first in the head of the text or, where it has none, in the whole text, recitals aside; else the
+    folder's, else the file name's, else the first in the recitals."""
 
     def first(part: Column) -> Column:
         plain = fold(part)
         places = [F.when(F.regexp_instr(plain, F.lit(p)) > 0, F.struct(F.regexp_instr(plain, F.lit(p)).alias("at"), F.lit(t).alias("t"))) for t, p in TYPE_WORDS.items()]
         return F.least(*places)["t"]
 
-    read = first(F.substring(text, 1, 3000))
+    own = without_citations(text)
     prefix = F.substring_index(name, "_", 1)
     return first_field(
-        field(read, 0.90, F.lit("text")),
+        field(first(head(own)), 0.90, F.lit("head")),
+        field(first(own), 0.60, F.lit("text")),
         field(F.when(category.isin(*TYPE_WORDS), category), 0.45, F.lit("category")),
         field(F.when(prefix.isin(*TYPE_WORDS), prefix), 0.35, F.lit("name")),
-        field(first(text), 0.30, F.lit("text")),
+        field(first(text), 0.30, F.lit("recital")),
     )
 
 
-def act_number(text: Column) -> Column:
-    """First number of the heading (confidence 0.92), else of the whole text (0.60)."""
-    pattern = "(?i)\\bn[°º.o]{1,3}\\s*([0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})"
+def act_number(text: Column, name: Column | None = None) -> Column:
+    """First number of the head, recitals aside (confidence 0.92), else of the text without recitals (0.75), else the one in the
+    file name (0.65), else of a recital (0.40)."""
+    pattern = "(?iu)\\bn[°º.o]{1,3}\\s*([0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})"
     tidy = lambda t: F.regexp_replace(F.regexp_replace(F.regexp_extract(t, pattern, 1), "\\s+", ""), "–", "-")
-    head = F.substring(text, 1, 400)
-    return first_field(field(tidy(head), 0.92, F.lit("heading")), field(tidy(text), 0.60, F.lit("text")))
+    own = without_citations(text)
+    named = [] if name is None else [field(number_of_name(name), 0.65, F.lit("name"))]
+    return first_field(field(tidy(head(own)), 0.92, F.lit("head")), field(tidy(own), 0.75, F.lit("text")), *named, field(tidy(text), 0.40, F.lit("recital")))
+
+
+def number_of_name(name: Column) -> Column:
+    """The number in a file name or id such as ``loi_1986_0004845`` (1986-0004845), else null."""
+    pattern = "^[a-z]+[-_]([0-9]{2,4})[-_]([0-9]{1,7})(?:[-_.]|$)"
+    return F.when(name.rlike(pattern), F.concat_ws("-", F.regexp_extract(name, pattern, 1), F.regexp_extract(name, pattern, 2)))
 
 
 def act_date(text: Column) -> Column:
-    """Date of the heading (0.95), of the signature (0.90), any other (0.55)."""
-    signed = F.regexp_extract(text, "(?is)\\b(?:fait à|done at|feito em)\\s+[^\\n]{2,60}", 0)
+    """Date of the head, recitals aside (0.95), of the last signature (0.90), any other (0.55), of a recital (0.40). Dates of
+    effect (``à compter du``) are none of the act's."""
+    own = F.regexp_replace(without_citations(text), "(?iu)\\b(?:à\\s+compter|à\\s+partir)\\s+du\\s+[^\\n,;.]{0,40}", " ")
+    signed = F.try_element_at(F.regexp_extract_all(text, F.lit("(?iu)\\b((?:fait à|done at|feito em)\\s+[^\\n]{2,60})"), F.lit(1)), F.lit(-1))
     return first_field(
-        field(written_date(F.substring(text, 1, 300)), 0.95, F.lit("heading")),
+        field(written_date(head(own)), 0.95, F.lit("head")),
         field(written_date(signed), 0.90, F.lit("signature")),
-        field(written_date(text), 0.55, F.lit("text")),
+        field(written_date(own), 0.55, F.lit("text")),
+        field(written_date(text), 0.40, F.lit("recital")),
     )
 
 
@@ -79,9 +97,16 @@ def completeness(df: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
     return df.withColumn("missing", missing).withColumn("completeness", F.round((len(fields) - F.size("missing")) / len(fields), 4))
 
 
-def with_overrides(df: DataFrame, manual: DataFrame, key: str, fields: tuple[str, ...]) -> DataFrame:
-    """Manual values before extracted ones."""
-    m = manual.select(key, *[F.col(f).alias(f"_{f}") for f in fields])
+# French names under which a manual file may give a field.
+ALIASES = {"title": "titre", "number": "numero", "authority": "autorite", "language": "langue", "legal_domain": "domaine", "status": "statut"}
+
+
+def with_overrides(df: DataFrame, manual: DataFrame, key: str, fields: tuple[str, ...], allowed: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+    """Manual values before extracted ones. A field may come under its alias; values that aren't ``allowed`` for their field,
+    and empty ones, override nothing."""
+    values = {f: F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in (f, ALIASES.get(f)) if c in manual.columns], F.lit(None).cast("string")) for f in fields}
+    values |= {f: F.when(F.lower(values[f]).isin(*a), F.lower(values[f])) for f, a in (allowed or {}).items()}
+    m = manual.select(key, *[values[f].alias(f"_{f}") for f in fields])
     joined = df.join(m, key, "left")
     for f in fields:
         joined = joined.withColumn(f, F.coalesce(f"_{f}", f)).drop(f"_{f}")
@@ -104,7 +129,7 @@ def reconcile(read: DataFrame, catalogue: DataFrame, key: str, fields: tuple[str
 
 def normal_hash(value: Column) -> Column:
     """A content hash without algorithm prefix, in lower case; null if empty."""
-    return F.nullif(F.lower(F.regexp_replace(F.trim(value), "^(?i)sha256:", "")), F.lit(""))
+    return F.nullif(F.lower(F.regexp_replace(F.trim(value), "^(?iu)sha256:", "")), F.lit(""))
 
 
 def attach_by_hash(documents: DataFrame, own_hash: str, catalogue: DataFrame, hash_column: str, order: str, columns: list[str]) -> DataFrame:
@@ -132,15 +157,16 @@ def sequential_ids(df: DataFrame, name: Column, content: Column, *order: Column)
 
 def authority(text: Column, kind: Column, patterns: dict[str, str], by_kind: dict[str, str]) -> Column:
     """Issuing authority read from the head (0.80), else the one that issues acts of the kind (0.75), else read from the
-    whole text (0.30)."""
+    rest of the text (0.30)."""
     read = lambda part, sure: [field(F.when(fold(part).rlike(p), F.lit(name)), sure, F.lit("text")) for name, p in patterns.items()]
-    return first_field(*read(F.substring(text, 1, 3000), 0.80), field(lookup(kind, by_kind), 0.75, F.lit("kind")), *read(text, 0.30))
+    return first_field(*read(head(text), 0.80), field(lookup(kind, by_kind), 0.75, F.lit("kind")), *read(text, 0.30))
 
 
-def date_seen(text: Column, date: Column, zone: int = 1500) -> Column:
-    """Whether a date stands in the head or signature zone, the month read with as many wrong letters as its length
+def date_seen(text: Column, date: Column) -> Column:
+    """Whether a date stands in the head or behind the last article's beginning, where the signature is, the month read with as many wrong letters as its length
     allows (none up to 4, one up to 7, else two) provided that no other month is as close."""
-    t = fold(F.concat(F.substring(text, 1, zone), F.lit("\n"), F.substring(text, -zone, zone)))
+    last = F.try_element_at(F.split(text, f"(?m){ARTICLE_LINE}"), F.lit(-1))
+    t = fold(F.concat_ws("\n", head(text), last))
     written = F.regexp_extract_all(t, F.lit("([0-9]{1,2}(?:er)?\\s+[a-z0-9|]{3,10}\\s+[0-9]{4})"), F.lit(1))
     months = F.array(*map(F.lit, MONTHS))
     target = F.get(months, F.substring(date, 6, 2).try_cast("int") - 1)

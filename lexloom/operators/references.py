@@ -9,10 +9,10 @@ from lexloom.functions.text import fold
 
 # The earliest year of an act, and the words that open citations, objects and articles.
 EARLIEST = 1850
-_ADDRESS = "(?i)/(?:doc/)?([a-z]+)[-_/](?:n-)?([0-9]{2,4}\\s*[-–—_]\\s*[0-9]{1,4}(?:[-_](?:bis|ter|quater)[0-9]*)?)/?$"
-CITATION_LINE = "(?i)^\\s*(?:vu\\b|consid[ée]rant\\b|sur\\s+rapport\\b|apr[èe]s\\s+avis\\b)"
-OBJECT = "(?i)\\b(?:portant|relatives?\\s+(?:aux?|[àa])|relatifs?\\s+(?:aux?|[àa])|fixant|instituant|modifiant|compl[ée]tant|abrogeant|cr[ée]ant|organisant|autorisant|approuvant|ratifiant)\\b"
-ARTICLE_LINE = "(?i)^\\s*(?:article|art\\.)\\s"
+_ADDRESS = "(?iu)/(?:doc/)?([a-z]+)[-_/](?:n-)?([0-9]{2,4}\\s*[-–—_]\\s*[0-9]{1,4}(?:[-_](?:bis|ter|quater)[0-9]*)?)/?$"
+CITATION_LINE = "(?iu)^\\s*(?:vu\\b|consid[ée]rant\\b|sur\\s+rapport\\b|apr[èe]s\\s+avis\\b)"
+OBJECT = "(?iu)\\b(?:portant|relatives?\\s+(?:aux?|[àa])|relatifs?\\s+(?:aux?|[àa])|fixant|instituant|modifiant|compl[ée]tant|abrogeant|cr[ée]ant|organisant|autorisant|approuvant|ratifiant)\\b"
+ARTICLE_LINE = "(?iu)^\\s*(?:article|art\\.)\\s"
 
 
 def padded(number: Column) -> Column:
@@ -37,7 +37,7 @@ def forms(number: Column) -> Column:
 def address_reference(url: Column) -> Column:
     """struct(kind, number) that a document's address states, else null."""
     plain = F.rtrim(F.url_decode(F.regexp_replace(url, "%(?![0-9A-Fa-f]{2})", "%25")))
-    kind = fold(F.regexp_replace(F.regexp_extract(plain, _ADDRESS, 1), "(?i)s$", ""))
+    kind = fold(F.regexp_replace(F.regexp_extract(plain, _ADDRESS, 1), "(?iu)s$", ""))
     number = F.regexp_replace(F.regexp_replace(F.regexp_extract(plain, _ADDRESS, 2), "\\s+", ""), "[–—_]", "-")
     return F.when(number != "", F.struct(kind.alias("kind"), number.alias("number")))
 
@@ -70,7 +70,7 @@ def claims(meta: DataFrame, latest: int = 2100) -> DataFrame:
 
 def common_root(document_id: Column) -> Column:
     """An id without bis, ter, quater and with year and serial in full, so that editions of one act agree."""
-    bare = F.regexp_replace(document_id, "(?i)_(?:bis|ter|quater)[0-9]*$", "")
+    bare = F.regexp_replace(document_id, "(?iu)_(?:bis|ter|quater)[0-9]*$", "")
     pattern = "^([a-z]+)_([0-9]{2,4})_([0-9]{1,7})$"
     year, serial = F.regexp_extract(bare, pattern, 2), F.regexp_extract(bare, pattern, 3).try_cast("int")
     full = F.when(F.length(year) == 2, F.concat(F.lit("19"), year)).otherwise(year)
@@ -94,7 +94,7 @@ def tidy(title: Column) -> Column:
     plain = F.regexp_replace(F.regexp_replace(title, "\\s+", " "), "^[ .;:—–-]+|[ .;:—–-]+$", "")
     letters = F.length(F.regexp_replace(plain, "[^\\p{L}]+", ""))
     shouted = F.length(F.regexp_replace(plain, "[^\\p{Lu}]+", "")) > 0.85 * letters
-    return F.substring(F.when((letters > 0) & shouted, F.concat(F.upper(F.substring(plain, 1, 1)), F.lower(F.substring(plain, 2, 100_000)))).otherwise(plain), 1, 400)
+    return F.substring(F.when((letters > 0) & shouted, F.concat(F.upper(F.substring(plain, 1, 1)), F.lower(F.substring(plain, F.lit(2), F.length(plain))))).otherwise(plain), 1, 400)
 
 
 def title(text: Column) -> Column:

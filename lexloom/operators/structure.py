@@ -29,7 +29,7 @@ class Rule:
     @property
     def pattern(self) -> str:
         number = f"\\s*{_NUMBER}" if self.body else f"\\s+{_NUMBER}" if self.number_required else f"(?:\\s+{_NUMBER})?"
-        return f"(?i)^\\s*(?:{self.keyword}){number}{_AFTER}"
+        return f"(?iu)^\\s*(?:{self.keyword}){number}{_AFTER}"
 
 
 # Levels from the widest to the narrowest, and formulas that end an act or only seem to.
@@ -40,9 +40,9 @@ RULES = (
     Rule("annexe", "annexes?|annex|anexo", 70, number_required=False), Rule("article", "article|art\\.|art|artigo", 80, 400, body=True),
 )
 LEVELS = ("partie", "livre", "titre", "sous_titre", "chapitre", "section", "sous_section", "paragraphe", "annexe", "article")
-STOPS = ("(?i)^\\s*fait\\s+[àa]\\s+.{2,40}\\s*,?\\s*le\\s+", "(?i)^\\s*(?:ainsi\\s+fait|par\\s+le\\s+pr[ée]sident)")
-NEVER_STOPS = ("(?i)\\bpromulgue\\b", "(?i)\\bteneur\\s+suit\\b", "(?i)\\ba\\s+d[ée]lib[ée]r[ée]\\s+et\\s+adopt[ée]")
-CONTENTS = ("\\.{4,}\\s*[0-9]{1,4}\\s*$", "(?i)^\\s*(?:sommaire|table\\s+des\\s+mati[èe]res)\\s*$")
+STOPS = ("(?iu)^\\s*fait\\s+[àa]\\s+.{2,40}\\s*,?\\s*le\\s+", "(?iu)^\\s*(?:ainsi\\s+fait|par\\s+le\\s+pr[ée]sident)")
+NEVER_STOPS = ("(?iu)\\bpromulgue\\b", "(?iu)\\bteneur\\s+suit\\b", "(?iu)\\ba\\s+d[ée]lib[ée]r[ée]\\s+et\\s+adopt[ée]")
+CONTENTS = ("\\.{4,}\\s*[0-9]{1,4}\\s*$", "(?iu)^\\s*(?:sommaire|table\\s+des\\s+mati[èe]res)\\s*$")
 PARAGRAPH = "^\\s*([0-9]{1,3}\\s*[°)\\-.]|[a-z]\\s*[)\\-.]|[-–—•])\\s+(?=\\S)"
 
 
@@ -71,13 +71,31 @@ def heading(line: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return F.when(~any_match(line, CONTENTS), F.coalesce(*[one(r) for r in sorted(rules, key=lambda r: r.priority)]))
 
 
-def headings(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(document_id, page, line_no, begin, level, number, heading): the heading lines before the closing formula."""
+#: So many articles after the closing formula are an annexed text (an agreement, a scale); fewer are stamps or notices.
+LEAST_ANNEXED = 2
+
+
+def _marked(pages: DataFrame, text: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """Lines with ``h`` (the heading that counts, else null), ``stop`` (the first closing formula) and ``closed`` (whether a
+    closing formula stands before). Headings behind it count where enough articles stand there; then the closing line opens an
+    implicit annex, so that the annexed numbers don't mix with those of the act."""
     lines = with_offsets(pages, text).withColumn("line", F.trim("line"))
-    order = Window.partitionBy("document_id").orderBy("page", "line_no")
-    lines = lines.withColumn("closed", F.max(is_stop(F.col("line")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)))
-    found = lines.withColumn("h", heading(F.col("line"), rules)).filter("h is not null")
-    return found.filter(F.coalesce("closed", F.lit(0)) == 0).select("document_id", "page", "line_no", "begin", "h.*")
+    document = Window.partitionBy("document_id")
+    before = document.orderBy("page", "line_no").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.withColumn("formula", is_stop(F.col("line"))).withColumn("h", heading(F.col("line"), rules))
+    lines = lines.withColumn("closed", F.coalesce(F.max("formula").over(before), F.lit(False)))
+    lines = lines.withColumn("stop", F.col("formula") & ~F.col("closed")).drop("formula")
+    # A count over the lines of a document, as an aggregate: the window above already has them in one place.
+    annexed = F.count(F.when(F.col("closed") & (F.col("h.level") == "article"), 1)).over(document) >= LEAST_ANNEXED
+    implicit = F.struct(F.lit("annexe").alias("level"), F.lit(None).cast("string").alias("number"), F.lit("").alias("heading"))
+    h = F.when(~F.col("closed") & ~F.col("stop") | F.col("closed") & F.col("annexed"), F.col("h")).when(F.col("stop") & F.col("annexed"), implicit)
+    return lines.withColumn("annexed", annexed).withColumn("h", h)
+
+
+def headings(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(document_id, page, line_no, begin, level, number, heading): the heading lines before the closing formula, and those of
+    a text annexed behind it, under an annex without number."""
+    return _marked(pages, text, rules).filter("h is not null").select("document_id", "page", "line_no", "begin", "h.*")
 
 
 def tree(found: DataFrame) -> DataFrame:
@@ -103,28 +121,52 @@ def tree(found: DataFrame) -> DataFrame:
     )
 
 
-def articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """(document_id, article_id, position, number, value, page, text): each article's lines up to the next heading
-    or the closing formula; a repeated number gets _2, _3 ... in its id."""
-    lines = with_offsets(pages, text).withColumn("line", F.trim("line"))
+#: An article's text with fewer characters may be incomplete, with more it may be several articles.
+SHORT, LONG = 20, 40_000
+
+
+def _units(pages: DataFrame, text: str, rules: tuple[Rule, ...]) -> DataFrame:
+    """(document_id, unit, h, page, closing, text): stretches of lines that a heading or the closing formula begins; unit 0
+    stands before the first of them."""
+    lines = _marked(pages, text, rules)
     order = Window.partitionBy("document_id").orderBy("page", "line_no")
-    lines = lines.withColumn("stop", is_stop(F.col("line"))).withColumn("h", heading(F.col("line"), rules))
     lines = lines.withColumn("unit", F.sum((F.col("h").isNotNull() | F.col("stop")).cast("int")).over(order))
-    lines = lines.withColumn("closed", F.max(F.col("stop").cast("int")).over(order)).filter("unit > 0 and coalesce(closed, 0) = 0")
-    body = F.when(F.col("h").isNotNull(), F.col("h.heading")).otherwise(F.col("line"))
-    units = lines.groupBy("document_id", "unit").agg(
-        F.max("h").alias("h"), F.min("page").alias("page"),
+    body = F.when(F.col("h").isNotNull() & ~F.col("stop"), F.col("h.heading")).otherwise(F.col("line"))
+    return lines.groupBy("document_id", "unit").agg(
+        F.max("h").alias("h"), F.min("page").alias("page"), F.max("stop").alias("closing"), F.max("closed").alias("closed"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "line_no", body.alias("t")))), lambda x: x["t"]), "\n").alias("text"),
-    ).filter("h.level = 'article'")
+    )
+
+
+def articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(document_id, article_id, position, number, value, page, annexed, text, warnings): each article's lines up to the next
+    heading or the closing formula; a repeated number gets _2, _3 ... in its id. Articles of a text annexed behind the closing
+    formula follow, their ids with the scope ``annexe``. Warnings: short, long, number_unread, number_repeated."""
+    units = _units(pages, text, rules).filter("h.level = 'article'")
     numbered = units.withColumn("number", F.col("h.number")).withColumn("position", F.row_number().over(Window.partitionBy("document_id").orderBy("unit")))
-    base = F.concat("document_id", F.lit("_article_"), F.lower(F.regexp_replace("number", "[^\\p{L}0-9]+", "_")))
+    scope = F.when(F.col("closed"), "_annexe").otherwise("")
+    base = F.concat("document_id", scope, F.lit("_article_"), F.lower(F.regexp_replace("number", "[^\\p{L}0-9]+", "_")))
     numbered = numbered.withColumn("base", base).withColumn("k", F.row_number().over(Window.partitionBy("document_id", "base").orderBy("unit")))
+    numbered = numbered.withColumn("text", F.regexp_replace("text", "^\\s+|\\s+$", "")).withColumn("value", legal_number(F.col("number")))
+    warnings = F.array(
+        F.when(F.length("text") < SHORT, "short"), F.when(F.length("text") > LONG, "long"), F.when(F.col("value").isNull(), "number_unread"), F.when(F.col("k") > 1, "number_repeated")
+    )
     return numbered.select(
         "document_id", F.when(F.col("k") > 1, F.concat_ws("_", "base", "k")).otherwise(F.col("base")).alias("article_id"),
-        "position", "number", legal_number(F.col("number")).alias("value"), "page", F.regexp_replace("text", "^\\s+|\\s+$", "").alias("text"),
+        "position", "number", "value", "page", F.col("closed").alias("annexed"), "text", F.array_compact(warnings).alias("warnings"),
     )
 
 
+def around_articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """(document_id, preamble, epilogue, warning): the text before the first heading (recitals, the title), the closing formula
+    with what follows up to an annexed text, and ``no_articles`` where there are none. Every document has a row."""
+    units = _units(pages, text, rules)
+    trimmed = lambda when: F.regexp_replace(F.max(F.when(when, F.col("text"))), "^\\s+|\\s+$", "")
+    some = F.max(F.coalesce(F.col("h.level") == "article", F.lit(False)))
+    rows = units.groupBy("document_id").agg(trimmed(F.col("unit") == 0).alias("preamble"), trimmed(F.col("closing")).alias("epilogue"), some.alias("_some"))
+    return rows.select("document_id", "preamble", "epilogue", F.when(~F.col("_some"), "no_articles").alias("warning"))
+
+
 def paragraphs(items: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, idx, number, text): blocks that a numbered line or a blank line begins."""
     lines = items.select(key, F.posexplode_outer(F.split(F.col(text), "\n")).alias("i", "line")).withColumn("line", F.trim("line"))
