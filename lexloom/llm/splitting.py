@@ -140,13 +140,18 @@ def node_pieces(documents: DataFrame, structure: DataFrame, limits: DataFrame) -
     paragraph, line, sentence or word, else anywhere. Where a span reaches beyond the text (or the text is
     missing), its last pieces have no text."""
     big = oversized_nodes(structure, limits)
-    starts = structure.filter("char_start > 0").groupBy("document_id").agg(F.collect_set("char_start").alias("starts"))
+    starts = structure.filter("char_start > 0").groupBy("document_id").agg(F.array_sort(F.collect_set("char_start")).alias("starts"))
     big = stage(big.join(starts, "document_id", "left"), "big-nodes")
     texts = documents.select("document_id", "text").filter("document_id is not null and text is not null")
     own = F.expr("substring(text, begin + 1, int(least(size, 2147483647L)))")
-    inner = F.expr("filter(coalesce(starts, array()), x -> x > begin and x < begin + size)")
+    # Positions in the body of the line feeds behind which another unit begins, in order. In four bytes a character every
+    # slice is found at once, so a text with many units is gone through once and not once per unit.
+    inner = F.expr("transform(filter(coalesce(starts, array()), x -> x > begin and x < begin + size), x -> int(x - begin))")
+    # Arrays of one element bind what is computed once to a name.
     marked = F.expr(
-        f"aggregate(inner, body, (t, x) -> if(substring(t, x - begin, 1) = '\\n', overlay(t placing '{UNIT_MARK}' from int(x - begin) for 1), t))"
+        "get(transform(array(named_struct('wide', encode(body, 'UTF-32'), 'at', inner, 'n', length(body))), b -> "
+        "get(transform(array(concat(array(0), filter(b.at, x -> x <= b.n and decode(substring(b.wide, 4 * x - 3, 4), 'UTF-32') = '\\n'), array(b.n + 1))), c -> "
+        f"array_join(transform(sequence(1, size(c) - 1), k -> decode(substring(b.wide, 4 * c[k - 1] + 1, 4 * (c[k] - 1 - c[k - 1])), 'UTF-32')), '{UNIT_MARK}')), 0)), 0)"
     )
     items = (
         big.join(texts, "document_id", "left")
@@ -154,7 +159,7 @@ def node_pieces(documents: DataFrame, structure: DataFrame, limits: DataFrame) -
         .withColumn("begin", F.greatest("begin", F.lit(0)))  # a negative offset is read as 0, the span keeps its length
         .withColumn("body", own)
         .withColumn("inner", inner)
-        .withColumn("body", F.when(F.instr("body", UNIT_MARK) > 0, F.col("body")).otherwise(marked))
+        .withColumn("body", F.when((F.size("inner") > 0) & (F.instr("body", UNIT_MARK) == 0), marked).otherwise(F.col("body")))
     )
     pieces = split_items(items, TEXT_BOUNDARIES)
     return pieces.withColumn("piece", F.translate("piece", UNIT_MARK, "\n"))

@@ -248,6 +248,17 @@ def test_pieces_cut_before_units(spark):
     assert got[0] == (1, 9)
 
 
+def test_pieces_of_a_text_with_very_many_units(spark):
+    line = "é😀 mot à mot\n"
+    text = line * 30_000
+    docs = frame(spark, [("a", 3, text)], "document_id string, page_count int, text string")
+    nodes = [("n", "a", 1, 0, len(text))] + [(f"u{i}", "a", 1, i * len(line), None) for i in range(1, 30_000)]
+    limits = frame(spark, [("node", "char", 3000, 200)], LIMITS)
+    began = time.time()
+    rows = splitting.split_oversized(docs, docs.selectExpr("document_id", "1 as page", "text"), frame(spark, nodes, STRUCTURE), limits).collect()
+    assert time.time() - began < 120 and all(r.stop % len(line) == 0 and r.piece == text[r.begin : r.stop] for r in rows)
+
+
 def test_pieces_of_wild_offsets(spark):
     docs = frame(spark, [("a", 3, "mot " * 1000)], "document_id string, page_count int, text string")
     nodes = frame(spark, [("far", "a", 1, 1000, 2_000_000), ("below", "a", 1, -50, 3500)], STRUCTURE)
