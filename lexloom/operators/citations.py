@@ -139,9 +139,13 @@ def covering(points: DataFrame, ranges: DataFrame, key: str, at: str, first: str
     return hit.groupBy(*points.columns).agg(F.max(F.struct("_o", "_i")).alias("m")).select(*points.columns, F.col("m._i").alias(item))
 
 
-def touching(edges: DataFrame, source: str, target: str, document: str) -> DataFrame:
-    """Edges with the document at either end."""
-    return edges.filter((F.col(source) == document) | (F.col(target) == document))
+def touching(edges: DataFrame, source: str, target: str, documents: DataFrame) -> DataFrame:
+    """Edges with one of documents(document_id) at either end."""
+    ids = documents.select(F.col("document_id").alias("_d")).filter("_d is not null").distinct()
+    at_source = edges.join(ids, F.col(source) == F.col("_d"), "left_semi")
+    at_target = edges.join(ids, F.col(target) == F.col("_d"), "left_semi")
+    other = at_target.join(ids, F.col(source) == F.col("_d"), "left_anti")
+    return at_source.unionByName(other)
 
 
 def excerpt(text: Column, begin: Column, end: Column, window: int = 120) -> Column:

@@ -33,13 +33,18 @@ def staging_root(spark: SparkSession) -> str:
     return f"file://{_local_root}"
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that nothing uses yet."""
+    return f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 class Staged:
     """A written table: ``df`` reads it, ``bytes`` and ``rows`` are exact, ``drop()`` removes it."""
 
     def __init__(self, df: DataFrame, name: str):
         spark = df.sparkSession
         self._spark = spark
-        self.path = f"{staging_root(spark)}/{name}-{uuid.uuid4().hex}"
+        self.path = new_folder(spark, name)
         df.write.parquet(self.path)
         self.df = spark.read.schema(df.schema).parquet(self.path)
         _written.append(self)

@@ -24,19 +24,25 @@ def text_measures(documents: DataFrame) -> DataFrame:
     return rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("alpha"), 6).alias("alpha"), F.round(F.avg("suspect"), 6).alias("suspect"))
 
 
-@query("documents", sql=f"""
-select doc_id, round(greatest(0.0, 0.5 * {_ALPHA} + 0.4 * least(1.0, ({_WORDS}) / 8.0) + 0.1), 6) as score
-from documents where text is not null and length(trim(text)) > 0""")
-def lexical_readability(documents: DataFrame) -> DataFrame:
-    around = F.concat(F.lit(" "), F.lower("text"), F.lit(" "))
-    hits = sum((F.when(F.contains(around, F.lit(f" {w} ")), 1).otherwise(0) for w in T.COMMON_WORDS), F.lit(0))
-    score = 0.5 * T.alpha_ratio(F.col("text")) + 0.4 * F.least(F.lit(1.0), hits / 8) + 0.1
-    return documents.filter("text is not null and length(trim(text)) > 0").select("doc_id", F.round(F.greatest(F.lit(0.0), score), 6).alias("score"))
+_FRAGMENT = "(?:^|[^\\pL\\pN_])((?:[\\pL\\pN_] ){4,})"
+def exact_round(value: str, digits: int = 4) -> str:
+    """Rounding of a double by its shortest decimal form, as Spark does it; the checking engine multiplies instead."""
+    return f"cast(round(cast(cast({value} as varchar) as decimal(38, 20)), {digits}) as double)"
+
+
+_READABLE = f"greatest(0.0, 0.5 * {_ALPHA} + 0.4 * least(1.0, ({_WORDS}) / 8.0) - 0.3 * least(1.0, len(regexp_extract_all(text, '{_FRAGMENT}')) * 20.0 / greatest(length(regexp_replace(text, '\\s*\\S+\\s*', 'x', 'g')), 1)) + 0.1)"
+_QUALITY = "greatest(0.0, least(1.0, case when c is not null then 0.5 * (readability - least(0.4, suspect * 10)) + 0.5 * c else readability - least(0.4, suspect * 10) end))"
+#: Readability and quality of the rows of quality_rows(..., text, c), c being the recogniser's confidence.
+QUALITY_SQL = f"""
+readable as (select *, case when length(trim(text)) > 0 then {exact_round(_READABLE)} else 0.0 end as readability, {_SUSPECT} as suspect from quality_rows),
+judged_rows as (select *, case when length(trim(text)) > 0 then {exact_round(_QUALITY)} else 0.0 end as quality from readable)
+"""
+CONFIDENCE = "case when ocr_confidence > 1 then ocr_confidence / 100 else ocr_confidence end"
 
 
-@query("pages")
+@query("pages", sql=f"with quality_rows as (select document_id, page, coalesce(text, '') as text, {CONFIDENCE} as c from pages), {QUALITY_SQL} select document_id, page, quality, readability from judged_rows")
 def page_quality(pages: DataFrame) -> DataFrame:
-    """Readability, suspect signs and the recogniser's confidence; fragments need word boundaries, so no SQL."""
+    """Readability, suspect signs and the recogniser's confidence."""
     confidence = F.when(F.col("ocr_confidence") > 1, F.col("ocr_confidence") / 100).otherwise(F.col("ocr_confidence"))
     text = F.coalesce("text", F.lit(""))
     return pages.select("document_id", "page", T.page_quality(text, confidence).alias("quality"), T.readability(text).alias("readability"))
@@ -89,9 +95,29 @@ def stated_hash_agrees(documents: DataFrame) -> DataFrame:
     return rows
 
 
-@query("pages")
+def _plain_re(pattern: str) -> str:
+    """The veto pattern for an engine without look-around: a sign on either side stands for it, as only a match matters."""
+    word, digit = "[\\p{L}\\p{N}_]", "\\d"
+    for c, none in ((word, "[^\\pL\\pN_]"), (digit, "[^0-9]"), ("\\p{L}", "[^\\pL]")):
+        pattern = pattern.replace(f"(?<!{c})", f"(?:^|{none})").replace(f"(?!{c})", f"(?:$|{none})")
+    return pattern.replace("(?iU)", "(?i)").replace("'", "''")
+
+
+_PROTECTED = f"regexp_matches(line, '{_plain_re(T.protected_pattern())}')"
+_CANONICAL = "trim(regexp_replace(regexp_replace(translate(regexp_replace(lower(line), '[\\x{300}-\\x{36f}]', '', 'g'), 'àâäáãçéèêëíìîïñóòôöõúùûüýÿœæ', 'aaaaaceeeeiiiinooooouuuuyyoa'), '[0-9]+', '#', 'g'), '[^a-z#]+', ' ', 'g'))"
+
+
+@query("pages", sql=f"""
+with t as (select distinct document_id, page, raw_text from pages where raw_text is not null),
+l as (select document_id, page, len(string_split(raw_text, chr(10))) as lines, unnest(string_split(raw_text, chr(10))) as raw, generate_subscripts(string_split(raw_text, chr(10)), 1) - 1 as i from t),
+z as (select *, trim(raw) as line, greatest(1, least(3, cast(floor(lines / 2) as int))) as depth from l),
+s as (select document_id, page, line, unnest(list_filter([case when i < depth then 'top' end, case when i >= lines - depth then 'bottom' end], lambda x: x is not null)) as side from z),
+c as (select document_id, page, side, {_CANONICAL} as canonical from s where length(line) >= 4 and not {_PROTECTED}),
+n as (select document_id, count(distinct page) as n from t group by document_id),
+k as (select document_id, side, canonical, count(distinct page) as pages from c where canonical <> '' group by all)
+select document_id, side, canonical, pages from k join n using (document_id) where n >= 3 and pages >= greatest(3, cast(floor(n * 0.55) as int))""")
 def repeated_heads_and_feet(pages: DataFrame) -> DataFrame:
-    """Lines repeated at the head or foot of a document's pages; SQL lacks the look-around of the veto patterns."""
+    """Lines repeated at the head or foot of a document's pages."""
     return lines.repeated_zone_lines(pages.filter("raw_text is not null").select("document_id", "page", "raw_text").distinct(), "raw_text")
 
 

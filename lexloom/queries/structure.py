@@ -253,7 +253,7 @@ def induced_states(meta: DataFrame) -> DataFrame:
 
 
 @query("metadata", "documents", sql="""
-with p as (select m.document_id, m.date, m.number, lower(translate(string_split_regex(d.text, '(?im)^\\s*(?:article|art\\.)\\s')[1], 'éûôÉÛ', 'euoEU')) as t from metadata m join documents d using (document_id) where d.text is not null),
+with p as (select m.document_id, m.date, m.number, lower(strip_accents(string_split_regex(d.text, '(?im)^\\s*(?:article|art\\.)\\s')[1])) as t from metadata m join documents d using (document_id) where d.text is not null),
 x as (select document_id, date, regexp_extract(t, '\\b([0-9]{1,2})(?:er)?\\s+(janvier|fevrier|mars|avril|mai|juin|juillet|aout|septembre|octobre|novembre|decembre)\\s+([0-9]{4})\\b', ['d', 'm', 'y']) as r from p)
 select document_id, date, case when r.m <> '' and try_cast(r.d as int) between 1 and 31 then r.y || '-' || lpad(cast(list_position(['janvier','fevrier','mars','avril','mai','juin','juillet','aout','septembre','octobre','novembre','decembre'], r.m) as varchar), 2, '0') || '-' || lpad(r.d, 2, '0') end as read from x""")
 def heading_dates(meta: DataFrame, documents: DataFrame) -> DataFrame:

@@ -88,6 +88,6 @@ def test_more_fields(spark):
 
 def test_edges_and_excerpts(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d")], "s string, t string")
-    assert citations.touching(edges, "s", "t", "b").count() == 2
+    assert citations.touching(edges, "s", "t", spark.createDataFrame([("b",), (None,)], "document_id string")).count() == 2
     one = spark.createDataFrame([("avant  le\nmot ici après",)], "t string")
     assert one.select(citations.excerpt(F.col("t"), F.lit(10), F.lit(13), 4)).first()[0] == "le mot ici"
