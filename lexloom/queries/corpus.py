@@ -164,6 +164,27 @@ def contained_texts(documents: DataFrame) -> DataFrame:
     return dedup.containment_links(documents, "doc_id", "text")
 
 
+@query("documents", sql=f"""
+with base as (select doc_id, text, {HASH_FORM} as form, regexp_replace(lower(trim(text_hash)), '^sha256:', '') as fh from documents),
+ff as (select fh, min(doc_id) as first from base where fh <> '' group by fh),
+file_links as (select b.doc_id, f.first as duplicate_of from base b join ff f using (fh) where b.doc_id <> f.first),
+left1 as (select * from base where doc_id not in (select doc_id from file_links)),
+tf as (select form, min(doc_id) as first from left1 where form <> '' group by form),
+text_links as (select b.doc_id, f.first as duplicate_of from left1 b join tf f using (form) where b.doc_id <> f.first),
+left2 as (select * from left1 where doc_id not in (select doc_id from text_links)),
+""" + _SETS.split("with ", 1)[1].replace("from documents where text is not null", "from left2 where text is not null").replace("doc_id, regexp_extract_all(" + HASH_FORM, "doc_id, regexp_extract_all(form") + """,
+near as (select greatest(a, b) as doc_id, least(a, b) as duplicate_of, common / (na + nb - common) as similarity from p where a < b and common >= 0.9 * (na + nb - common) - 1e-9),
+part as (select a as doc_id, b as duplicate_of, common / na as similarity from p where na < 0.9 * nb and common >= 0.9 * na - 1e-9 and a not in (select doc_id from near))
+select doc_id, duplicate_of, 'file_hash' as kind, 1.0 as similarity from file_links union all select doc_id, duplicate_of, 'text_hash', 1.0 from text_links
+union all select doc_id, duplicate_of, 'similarity', round(similarity, 6) from near union all select doc_id, duplicate_of, 'partial', round(similarity, 6) from part""")
+def duplicate_links(documents: DataFrame) -> DataFrame:
+    """All four kinds of links in one pass; the stated text_hash plays the file's hash, the text itself is compared next."""
+    from lexloom.operators.metadata import normal_hash
+
+    found = dedup.find_duplicates(documents, "doc_id", normal_hash(F.col("text_hash")), T.hash_form(F.col("text")), "text")
+    return found.withColumn("similarity", F.round("similarity", 6))
+
+
 @query("documents", sql="""
 with d as (select doc_id, text, greatest(1, cast(ceil((length(text) - 100) / 900.0) as int)) as n from documents where length(text) > 0),
 c as (select doc_id, text, unnest(range(0, n)) as position from d)

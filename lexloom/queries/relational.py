@@ -243,9 +243,11 @@ def slice_plan(documents: DataFrame) -> DataFrame:
 
 
 @query("lineitem", "orders", sql="""
-select o.o_orderkey, max(case l.l_returnflag when 'R' then 3 when 'A' then 2 else 1 end) as severity, count(*) as lines
-from orders o join lineitem l on o.o_orderkey = l.l_orderkey group by o.o_orderkey""")
+with e as (select l_orderkey, case l_returnflag when 'R' then 'abroge' when 'A' then 'modifie' else 'en_vigueur' end as state, case l_returnflag when 'R' then 5 when 'A' then 2 else 1 end as severity, l_discount as sure from lineitem),
+m as (select l_orderkey, max(severity) as severity from e group by l_orderkey)
+select o_orderkey, any_value(state) as state, max(sure) as sure from orders join e on o_orderkey = e.l_orderkey join m on e.l_orderkey = m.l_orderkey and e.severity = m.severity group by o_orderkey""")
 def status_propagation(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    level = F.when(F.col("l_returnflag") == "R", 3).when(F.col("l_returnflag") == "A", 2).otherwise(1)
-    per = lineitem.groupBy("l_orderkey").agg(F.max(level).alias("severity"), F.count(F.lit(1)).alias("lines"))
-    return orders.join(per, F.col("o_orderkey") == F.col("l_orderkey")).select("o_orderkey", "severity", "lines")
+    """The strongest state that the lines of an order give it, and how sure it is."""
+    state = F.when(F.col("l_returnflag") == "R", "abroge").when(F.col("l_returnflag") == "A", "modifie").otherwise("en_vigueur")
+    edges = lineitem.select("l_orderkey", state.alias("state"), F.col("l_discount").alias("sure"))
+    return orders.select("o_orderkey").join(citations.strongest(edges, "l_orderkey", "state", "sure"), F.col("o_orderkey") == F.col("l_orderkey")).drop("l_orderkey")

@@ -261,7 +261,41 @@ def heading_dates(meta: DataFrame, documents: DataFrame) -> DataFrame:
     return meta.select("document_id", "date").join(texts, "document_id")
 
 
-@query("documents")
+def _first_kind_sql(part: str) -> str:
+    """The kind whose word stands first in a folded text."""
+    one = lambda t, p: f"case when regexp_matches({part}, '{p}') then {{'at': length(regexp_extract({part}, '(?s)^(.*?){p}', 1)), 't': '{t}'}} end"
+    return f"list_sort(list_filter([{', '.join(one(t, p) for t, p in M.TYPE_WORDS.items())}], lambda x: x is not null))[1].t"
+
+
+def _first_date_sql(part: str) -> str:
+    """The first date of the calendar in a folded text."""
+    months = {m: i for i, m in enumerate(N.MONTHS, 1)} | N.SHORT_MONTHS
+    names = "|".join([*N.MONTHS, *sorted(N.SHORT_MONTHS, key=len, reverse=True)])
+    pattern = f"\\\\b[0-9]{{1,2}}(?:er)?\\\\s+(?:{names})\\\\b\\\\.?\\\\s+[0-9]{{4}}\\\\b".replace("\\\\", "\\")
+    number = " ".join(f"when '{m}' then '{i:02d}'" for m, i in months.items())
+    iso = f"regexp_extract(d, '([0-9]{{4}})$', 1) || '-' || case regexp_extract(d, '([a-z]+)\\.?\\s+[0-9]{{4}}$', 1) {number} end || '-' || lpad(regexp_extract(d, '^([0-9]+)', 1), 2, '0')"
+    return f"list_filter(list_transform(regexp_extract_all({part}, '{pattern}'), lambda d: {iso}), lambda d: try_cast(d as date) is not null)[1]"
+
+
+CITATION = "(?i)^\\s*(?:vu\\b|consid[ée]rant\\b|sur\\s+rapport\\b|apr[èe]s\\s+avis\\b)"
+_NUMBER_RE = "(?i)\\bn[°º.o]{1,3}\\s*([0-9]{2,4}\\s*[-–]\\s*[0-9]{1,4})"
+_number_of = lambda part: f"nullif(regexp_replace(regexp_replace(regexp_extract({part}, '{_NUMBER_RE}', 1), '\\s+', '', 'g'), '–', '-', 'g'), '')"
+_ACT_SQL = f"""
+with t as (select document_id, category, text, array_to_string(list_filter(string_split(text, chr(10)), lambda x: not regexp_matches(x, '{CITATION}')), chr(10)) as own from documents where text is not null),
+h as (select *, string_split_regex(own, '(?im)^\\s*(?:article|art\\.)\\s')[1] as head, regexp_replace(own, '(?i)\\b(?:à\\s+compter|à\\s+partir)\\s+du\\s+[^\\n,;.]{{0,40}}', ' ', 'g') as dated,
+  regexp_extract_all(text, '(?i)\\b((?:fait à|done at|feito em)\\s+[^\\n]{{2,60}})')[-1] as signed from t),
+g as (select *, string_split_regex(dated, '(?im)^\\s*(?:article|art\\.)\\s')[1] as dated_head, string_split(document_id, '_')[1] as prefix, regexp_extract(document_id, '^[a-z]+[-_]([0-9]{{2,4}})[-_]([0-9]{{1,7}})(?:[-_.]|$)', 1) as ny,
+  regexp_extract(document_id, '^[a-z]+[-_]([0-9]{{2,4}})[-_]([0-9]{{1,7}})(?:[-_.]|$)', 2) as ns from h),
+k as (select document_id, category, prefix, head, own, text, ny, ns, lower(strip_accents(head)) as fh, lower(strip_accents(own)) as fo, lower(strip_accents(text)) as ft, lower(strip_accents(dated_head)) as dh, lower(strip_accents(signed)) as ds, lower(strip_accents(dated)) as dd from g),
+v as (select document_id, 'type' as field, [{{'v': {_first_kind_sql('fh')}, 'c': 0.9, 'e': 'head'}}, {{'v': {_first_kind_sql('fo')}, 'c': 0.6, 'e': 'text'}}, {{'v': case when category in {tuple(M.TYPE_WORDS)} then category end, 'c': 0.45, 'e': 'category'}},
+    {{'v': case when prefix in {tuple(M.TYPE_WORDS)} then prefix end, 'c': 0.35, 'e': 'name'}}, {{'v': {_first_kind_sql('ft')}, 'c': 0.3, 'e': 'recital'}}] as l from k
+  union all select document_id, 'number', [{{'v': {_number_of('head')}, 'c': 0.92, 'e': 'head'}}, {{'v': {_number_of('own')}, 'c': 0.75, 'e': 'text'}}, {{'v': case when ny <> '' then ny || '-' || ns end, 'c': 0.65, 'e': 'name'}}, {{'v': {_number_of('text')}, 'c': 0.4, 'e': 'recital'}}] from k
+  union all select document_id, 'date', [{{'v': {_first_date_sql('dh')}, 'c': 0.95, 'e': 'head'}}, {{'v': {_first_date_sql('ds')}, 'c': 0.9, 'e': 'signature'}}, {{'v': {_first_date_sql('dd')}, 'c': 0.55, 'e': 'text'}}, {{'v': {_first_date_sql('ft')}, 'c': 0.4, 'e': 'recital'}}] from k),
+fields as (select document_id, field, list_filter(l, lambda x: x.v is not null)[1] as x from v)
+"""
+
+
+@query("documents", sql=_ACT_SQL + "select document_id, field, x.v as value, cast(x.c as double) as confidence, x.e as evidence from fields where x is not null")
 def act_fields(documents: DataFrame) -> DataFrame:
     """Kind, number and date with confidence and evidence."""
     rows = documents.filter("text is not null").select(
@@ -283,7 +317,14 @@ def completeness(meta: DataFrame) -> DataFrame:
     return M.completeness(meta).select("document_id", "missing", "completeness")
 
 
-@query("metadata", "documents")
+@query("metadata", "documents", sql=_ACT_SQL + """,
+w as (select document_id, max(case when field = 'type' then x.v end) as type, max(case when field = 'number' then x.v end) as number, max(case when field = 'date' then x.v end) as date from fields group by document_id),
+j as (select w.document_id, unnest([{'f': 'type', 'a': nullif(trim(w.type), ''), 'b': nullif(trim(m.type), '')}, {'f': 'number', 'a': nullif(trim(w.number), ''), 'b': nullif(trim(m.number), '')}, {'f': 'date', 'a': nullif(trim(w.date), ''), 'b': nullif(trim(m.date), '')}]) as r
+  from w join metadata m using (document_id)),
+y as (select document_id, r.f as field, r.a as read, r.b as listed, regexp_extract(r.a, '^([0-9]{4})-([0-9]{1,4})$', ['y', 's']) as ka, regexp_extract(r.b, '^([0-9]{4})-([0-9]{1,4})$', ['y', 's']) as kb from j)
+select document_id, field, read, listed, case when read is null then 'filled' when listed is null then 'read only'
+  when case when field = 'number' and ka.y <> '' and kb.y <> '' then ka.y = kb.y and try_cast(ka.s as int) = try_cast(kb.s as int) else regexp_replace(lower(strip_accents(read)), '[^a-z0-9-]', '', 'g') = regexp_replace(lower(strip_accents(listed)), '[^a-z0-9-]', '', 'g') end then 'confirmed' else 'diverges' end as verdict
+from y where read is not null or listed is not null""")
 def reconciled_fields(meta: DataFrame, documents: DataFrame) -> DataFrame:
     """Fields read from the text against those of the metadata table."""
     read = documents.filter("text is not null").select(
