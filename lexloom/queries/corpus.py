@@ -121,7 +121,34 @@ def repeated_heads_and_feet(pages: DataFrame) -> DataFrame:
     return lines.repeated_zone_lines(pages.filter("raw_text is not null").select("document_id", "page", "raw_text").distinct(), "raw_text")
 
 
-@query("pages")
+_FROM, _TO = T.SPACE_VARIANTS + "".join(T.QUOTES), (" " * len(T.SPACE_VARIANTS) + "".join(T.QUOTES.values())).replace("'", "''")
+_JOIN = "regexp_replace({}, '([\\pL_])[-­]\\s*\\n\\s*([\\p{{Ll}}\\p{{Lt}}\\p{{Lm}}\\p{{Lo}}_])', '\\1\\2', 'g')"
+_DASHED = f"regexp_replace({{}}, '([0-9])\\s*[{T.DASHES}_]\\s*([0-9])', '\\1-\\2', 'g')"
+_WRAPPED = "regexp_replace({}, '([^.;:!?»\"'')\\]\\s])[ \\t]*\\n[ \\t]*(\\p{{Ll}})', '\\1 \\2', 'g')"
+_COLLAPSED = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '[ \\t]+', ' ', 'g'), ' *\\n *', chr(10), 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '^\\n+|\\n+$', '', 'g'))"
+_BARE = "regexp_replace(lower(trim(regexp_replace(trim(line), '^(?:[-–—]|[\\[(])\\s*|\\s*(?:[-–—]|[\\])])$', '', 'g'))), '^page\\s*|\\s*(?:/|sur)\\s*[0-9]{1,4}$', '', 'g')"
+#: Cleaned rows: done(document_id, page, raw_text, text, removed).
+_CLEANED = f"""
+with r as (select distinct document_id, page, raw_text from pages where raw_text is not null),
+s as (select *, translate(regexp_replace(regexp_replace(raw_text, '\\r\\n?', chr(10), 'g'), '[\\x00-\\x08\\x0b-\\x1f\\x7f-\\x{{9f}}]|\\p{{Cf}}', '', 'g'), '{_FROM}', '{_TO}') as t0 from r),
+t as (select document_id, page, raw_text, {_JOIN.format(_JOIN.format(_DASHED.format(_DASHED.format("t0"))))} as t from s),
+l as (select document_id, page, raw_text, len(string_split(t, chr(10))) as lines, unnest(string_split(t, chr(10))) as raw, generate_subscripts(string_split(t, chr(10)), 1) - 1 as i from t),
+z0 as (select *, trim(raw) as line, greatest(1, least(3, cast(floor(lines / 2) as int))) as depth from l),
+z as (select *, {_CANONICAL} as canonical, {_PROTECTED} as protected, i < depth as head, i >= lines - depth as foot from z0),
+k as (select document_id, side, canonical, count(distinct page) as n from (select document_id, page, canonical, unnest(list_filter([case when head then 'top' end, case when foot then 'bottom' end], lambda x: x is not null)) as side
+  from z where length(line) >= 4 and not protected and canonical <> '') group by all),
+d as (select document_id, count(distinct page) as n from t group by document_id),
+again as (select document_id, side, canonical from k join d using (document_id) where d.n >= 3 and k.n >= greatest(3, cast(floor(d.n * 0.55) as int))),
+m as (select z.*, z.head and exists (select 1 from again x where x.document_id = z.document_id and x.side = 'top' and x.canonical = z.canonical)
+    or z.foot and exists (select 1 from again x where x.document_id = z.document_id and x.side = 'bottom' and x.canonical = z.canonical) as furniture,
+  (head or foot) and length(line) <= 20 and not protected and (regexp_matches({_BARE}, '^[0-9]{{1,4}}$') or regexp_matches({_BARE}, '^[ivxlcdm]{{1,7}}$')) as number, regexp_matches(line, '{T.DECORATION}') as decoration from z),
+w as (select *, line = '' or protected or not (furniture or number or decoration) as keep from m),
+j as (select document_id, page, raw_text, coalesce(string_agg(case when keep then raw end, chr(10) order by i), '') as flowed, sum(case when keep then 0 else 1 end) as removed from w group by document_id, page, raw_text),
+done as (select document_id, page, raw_text, {_COLLAPSED.format(_WRAPPED.format(_WRAPPED.format("flowed")))} as text, removed from j)
+"""
+
+
+@query("pages", sql=_CLEANED + "select document_id, page, text, removed from done")
 def cleaned_pages(pages: DataFrame) -> DataFrame:
     rows = pages.filter("raw_text is not null").select("document_id", "page", "raw_text").distinct()
     return lines.clean_pages(rows, "raw_text")
@@ -228,7 +255,10 @@ def hybrid_pages(pages: DataFrame) -> DataFrame:
     return hybrid(native, pages.filter("page is not null").select("document_id", "page", F.col("raw_text").alias("text")).distinct())
 
 
-@query("pages")
+@query("pages", sql=_CLEANED + """,
+per as (select document_id, count(*) as pages, sum(length(raw_text)) as chars_before, sum(length(text)) as chars_after, sum(removed) as removed_lines, sum(case when length(raw_text) > 0 and length(text) = 0 then 1 else 0 end) as emptied from done group by document_id),
+x as (select *, case when chars_before > 0 then greatest(0.0, 1 - chars_after / chars_before) else 0.0 end as share from per)
+select document_id, pages, chars_before, chars_after, removed_lines, emptied, """ + exact_round("share") + """ as ratio, case when share > 0.25 then 'much removed' when emptied > 0 then 'page emptied' end as warning from x""")
 def cleaning_report(pages: DataFrame) -> DataFrame:
     rows = pages.filter("raw_text is not null").select("document_id", "page", "raw_text").distinct()
     return lines.cleaning_report(rows, lines.clean_pages(rows, "raw_text"), "raw_text")

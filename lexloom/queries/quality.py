@@ -11,7 +11,7 @@ from lexloom.operators import metadata as M, quality as Q, references as R, stru
 from lexloom.queries.catalogue import SQL, query
 from lexloom.queries.corpus import _ALPHA, _FRAGMENT, CONFIDENCE, QUALITY_SQL, exact_round
 from lexloom.queries.relational import HASH_FORM
-from lexloom.queries.structure import _ARTICLES_SQL, _WHOLE_TEXTS, _lines_sql
+from lexloom.queries.structure import _ARTICLES_SQL, _WHOLE_TEXTS, CITATION, _lines_sql
 from lexloom.sources import sinks
 
 
@@ -177,7 +177,19 @@ def texts_without_citations(documents: DataFrame) -> DataFrame:
     return documents.filter("text is not null").select("doc_id", R.without_citations(F.col("text")).alias("text"))
 
 
-@query("documents")
+_TIDY = "regexp_replace(regexp_replace({}, '\\s+', ' ', 'g'), '^[ .;:—–-]+|[ .;:—–-]+$', '', 'g')"
+_ABOUT = "(?i)(?:^|[^\\pL\\pN_])(?:portant|relatives?\\s+(?:aux?|[àa])|relatifs?\\s+(?:aux?|[àa])|fixant|instituant|modifiant|compl[ée]tant|abrogeant|cr[ée]ant|organisant|autorisant|approuvant|ratifiant)(?:$|[^\\pL\\pN_])"
+
+
+@query("documents", sql=f"""
+with l as (select document_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '')[1:25] as l from documents where text is not null),
+s as (select *, list_position(list_transform(l, lambda x: regexp_matches(x, '(?i)^\\s*(?:article|art\\.)\\s')), true) as stop from l),
+h as (select document_id, l, case when stop > 0 then l[1:stop - 1] else l end as head from s),
+c as (select document_id, list_filter(head, lambda x: regexp_matches(x, '{_ABOUT}') and not regexp_matches(x, '{CITATION}'))[1] as about,
+  list_filter(l[1:12], lambda x: length(x) >= 12 and not regexp_matches(x, '^[0-9]+$'))[1] as first from h),
+p as (select document_id, {_TIDY.format('coalesce(about, first)')} as t, case when about is not null then 0.85 when first is not null then 0.4 end as confidence from c),
+n as (select *, length(t) - length(regexp_replace(t, '\\pL', '', 'g')) as letters, length(t) - length(regexp_replace(t, '\\p{{Lu}}', '', 'g')) as upper from p)
+select document_id, substr(case when letters > 0 and upper > 0.85 * letters then upper(substr(t, 1, 1)) || lower(substr(t, 2)) else t end, 1, 400) as value, confidence from n""")
 def titles(documents: DataFrame) -> DataFrame:
     rows = documents.filter("text is not null").select("document_id", R.title(F.col("text")).alias("t"))
     return rows.select("document_id", "t.value", "t.confidence")
