@@ -11,7 +11,7 @@ sized as (
   union all
   select 'node', node_id, 'char', abs(char_end - char_start) from structure
   where char_start is not null and char_end is not null)
-select distinct s.item_kind, s.item_id from sized s
+select distinct s.item_kind, s.item_id{} from sized s
 join split_limits l on l.item_kind = s.item_kind and l.unit = s.unit where s.size > l.max_size
 """
 
@@ -53,7 +53,9 @@ SQL: dict[str, str] = {
     "p1_found": _GROUPS + "select document_id, group_id from groups",
     "p1_groups": _GROUPS
     + "select d.document_id, coalesce(g.group_id, d.document_id) as group_id from documents d left join groups g using (document_id)",
-    "p4_found": _SPLIT_SIZES,
+    "p4_found": _SPLIT_SIZES.format(""),
+    "p4_checked": _SPLIT_SIZES.format(", s.size, true as within, true as overlapping"),
+    "p6_decoded": "select doc_id, md5(coalesce(text, '')) as digest from documents",
     "p5_found": _EXCESS + "select distinct document_id, page, line_no from long join excess using (source, line)",
     "p5_lines": _EXCESS + "select source, line, k as docs, n as source_docs from excess",
     "p5_clean": _EXCESS

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lexloom.llm import boilerplate, components, markup, mixing, mojibake, scans, splitting, tokenizer
 from lexloom.sources.tables import table
@@ -48,6 +48,19 @@ def p4_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return _split(spark, folder)
 
 
+def p4_checked(spark: SparkSession, folder: str) -> DataFrame:
+    """Per item its size as its pieces cover it, whether all are within the limit, and whether each begins by exactly the
+    overlap before the end of the one before."""
+    pieces = _split(spark, folder)
+    limits = table(spark, folder, "split_limits").select("item_kind", "max_size", "overlap")
+    before = F.lag("stop").over(Window.partitionBy("item_kind", "item_id").orderBy("piece_no"))
+    rows = pieces.join(limits, "item_kind").withColumn("before", before)
+    return rows.groupBy("item_kind", "item_id").agg(
+        (F.max("stop") - F.min("begin")).alias("size"), F.min(F.col("stop") - F.col("begin") <= F.col("max_size")).alias("within"),
+        F.min(F.coalesce(F.col("before") - F.col("begin") == F.col("overlap"), F.lit(True))).alias("overlapping"),
+    )
+
+
 def _pages_and_documents(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return table(spark, folder, "pages"), table(spark, folder, "documents")
 
@@ -68,6 +81,12 @@ def p6_ids(spark: SparkSession, folder: str) -> DataFrame:
     return tokenizer.token_ids(table(spark, folder, "documents"), "doc_id", "text")
 
 
+def p6_decoded(spark: SparkSession, folder: str) -> DataFrame:
+    """The digest of the text that each document's ids decode to: the round trip over the whole corpus."""
+    back = tokenizer.decoded(p6_ids(spark, folder), "doc_id")
+    return back.select("doc_id", F.md5(F.col("text")).alias("digest"))
+
+
 def p7_draws(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[0]
 
@@ -91,5 +110,5 @@ def p8_restored(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (p1_found, p1_groups, p2_found, p2_clean, p3_found, p3_text, p4_found, p4_pieces, p5_found, p5_lines, p5_clean, p6_ids, p7_draws, p7_shares, p7_tempered, p8_found, p8_restored)
+    for f in (p1_found, p1_groups, p2_found, p2_clean, p3_found, p3_text, p4_found, p4_pieces, p4_checked, p5_found, p5_lines, p5_clean, p6_ids, p6_decoded, p7_draws, p7_shares, p7_tempered, p8_found, p8_restored)
 }

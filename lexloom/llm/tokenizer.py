@@ -205,6 +205,23 @@ def token_ids(df: DataFrame, key: str, text: str, vocabulary: str = BPE_50K) ->
     return df.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
 
 
+def decoded(df: DataFrame, key: str, vocabulary: str = BPE_50K) -> DataFrame:
+    """(key, text) of df(key, ids): the bytes of each row's ids put together, the inverse of token_ids. Bytes that are no
+    UTF-8 are an error, as the ids of a text never give them; null ids give null."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with open(vocabulary, encoding="utf-8") as f:
+            vocab = json.load(f)["model"]["vocab"]
+        alphabet = printable_bytes()
+        parts = {i: bytes(alphabet[c] for c in token) for token, i in vocab.items() if all(c in alphabet for c in token)}
+        for batch in batches:
+            texts = [None if ids is None else b"".join(map(parts.__getitem__, ids)).decode("utf-8") for ids in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], names=[key, "text"])
+
+    return df.select(key, "ids").mapInArrow(run, f"`{key}` {kind}, text string")
+
+
 def token_counts(df: DataFrame, text: str, keep: list[str], vocabulary: str = BPE_50K) -> DataFrame:
     """The columns ``keep`` and ``n_tokens`` of each row's text (0 for null and empty texts)."""
     schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
