@@ -157,6 +157,15 @@ def articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RUL
     )
 
 
+def with_context(found: DataFrame, nodes: DataFrame) -> DataFrame:
+    """articles() with ``hierarchy_path`` and one column per level above articles: the label of the last unit of that level that
+    an article stands in. ``nodes`` as of tree() over the same texts; the n-th article of both is the same."""
+    n = F.row_number().over(Window.partitionBy("document_id").orderBy("begin"))
+    paths = nodes.filter("level = 'article'").select("document_id", n.alias("position"), F.col("path").alias("hierarchy_path"))
+    label = lambda level: F.try_element_at(F.filter("hierarchy_path", lambda x: F.substring_index(x, " ", 1) == level.upper()), F.lit(-1)).alias(level)
+    return found.join(paths, ["document_id", "position"], "left").select(*found.columns, "hierarchy_path", *[label(level) for level in LEVELS[:-1]])
+
+
 def around_articles(pages: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(document_id, preamble, epilogue, warning): the text before the first heading (recitals, the title), the closing formula
     with what follows up to an annexed text, and ``no_articles`` where there are none. Every document has a row."""

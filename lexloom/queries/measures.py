@@ -8,6 +8,7 @@ from lexloom.functions import numbers as N, text as T
 from lexloom.operators import citations as C, metadata as M, review as R, store, structure as S
 from lexloom.plans.staging import new_folder
 from lexloom.queries.catalogue import query
+from lexloom.queries.structure import _ARTICLES_SQL, _WHOLE_TEXTS, _lines_sql
 from lexloom.sources import files, readers, sinks
 
 
@@ -198,3 +199,47 @@ def category_folders(documents: DataFrame, meta: DataFrame) -> DataFrame:
         sinks.export(rows, path, "parquet", by="category")
     back = documents.sparkSession.read.parquet(path)
     return back.groupBy(F.col("category").cast("string").alias("category")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+
+
+@query("documents", "metadata", "sources", sql=_lines_sql(_WHOLE_TEXTS) + _ARTICLES_SQL + """,
+s as (select document_id, min(filename) as filename from sources group by document_id)
+select article_id, document_id, found.number as article_number, value as numeric_value, position, length(text) as chars, m.title as document_title, m.type as document_type, m.number as document_number, m.date as document_date,
+  m.status as document_status, m.language, s.filename as source_file from found left join metadata m using (document_id) left join s using (document_id)""")
+def article_table(documents: DataFrame, meta: DataFrame, sources: DataFrame) -> DataFrame:
+    """The flat table of articles, written as CSV and read back; texts are compared by their length."""
+    spark = documents.sparkSession
+    texts = documents.filter("text is not null").select("document_id", F.lit(1).alias("page"), F.regexp_replace("text", "\\r\\n?", "\n").alias("text"))
+    flat = sinks.article_records(S.articles(texts), meta, sources).select(
+        "article_id", "document_id", F.col("number").alias("article_number"), F.col("value").alias("numeric_value"), "position", F.length("text").alias("chars"),
+        "document_title", "document_type", "document_number", "document_date", "document_status", "language", "source_file",
+    )
+    path = new_folder(spark, "articles-csv")
+    sinks.export(flat, path, "csv")
+    return spark.read.schema(flat.schema).option("header", True).csv(path)
+
+
+@query("documents", sql=_lines_sql(_WHOLE_TEXTS) + _ARTICLES_SQL + """,
+ranked as (select document_id, line_no, level, number, list_position(['partie', 'livre', 'titre', 'sous_titre', 'chapitre', 'section', 'sous_section', 'paragraphe', 'annexe', 'article'], level) as rank, row_number() over (partition by document_id order by line_no) as n from hs),
+nth as (select document_id, n, row_number() over (partition by document_id order by n) as position from ranked where level = 'article'),
+up as (select x.document_id, x.position, y.level, concat_ws(' ', upper(y.level), y.number) as label, y.rank from nth x join ranked y on y.document_id = x.document_id and y.n < x.n and y.rank < 10
+  where not exists (select 1 from ranked z where z.document_id = x.document_id and z.n > y.n and z.n < x.n and z.rank <= y.rank)),
+agg as (select document_id, position, list(label order by rank) as hierarchy_path, max(case when level = 'titre' then label end) as titre, max(case when level = 'chapitre' then label end) as chapitre,
+  max(case when level = 'section' then label end) as section, max(case when level = 'annexe' then label end) as annexe from up group by all)
+select article_id, coalesce(hierarchy_path, []) as hierarchy_path, titre, chapitre, section, annexe from found left join agg using (document_id, position)""")
+def article_context(documents: DataFrame) -> DataFrame:
+    """Each article with the units it stands in."""
+    texts = documents.filter("text is not null").select("document_id", F.lit(1).alias("page"), F.regexp_replace("text", "\\r\\n?", "\n").alias("text"))
+    rows = S.with_context(S.articles(texts), S.tree(S.headings(texts)))
+    return rows.select("article_id", "hierarchy_path", "titre", "chapitre", "section", "annexe")
+
+
+@query("documents", sql="""
+select document_id, case when lang = 'fr' then 'moved' else coalesce(category, 'none') end as category from documents""")
+def replaced_in_folders(documents: DataFrame) -> DataFrame:
+    """Documents in folders by category, after the French ones have moved to another folder: no stale copy stays."""
+    path = new_folder(documents.sparkSession, "by-category")
+    rows = documents.select("document_id", F.coalesce("category", F.lit("none")).alias("category"))
+    sinks.replace_in_folders(rows, path, "document_id", "category")
+    moved = documents.filter("lang = 'fr'").select("document_id", F.lit("moved").alias("category"))
+    sinks.replace_in_folders(moved, path, "document_id", "category")
+    return documents.sparkSession.read.schema(rows.schema).json(path)
