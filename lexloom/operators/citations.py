@@ -1,7 +1,7 @@
 """Citations between acts: found by a small grammar, resolved through a reference index, applied to their targets.
 
-An act is named by a kind and a number. A relation stands before it (``abroge le décret n° 58-2``) or, in the passive,
-behind it (``le décret n° 58-2 est abrogé``). Where an agent follows, ``par la loi ...``, it is that agent which acts and
+An act is named by a kind and a number. A relation stands before it (``abroge le décret n° 71-15``) or, in the passive,
+behind it (``le décret n° 71-15 est abrogé``). Where an agent follows, ``par la loi ...``, it is that agent which acts and
 not the document, so nothing is found.
 """
 

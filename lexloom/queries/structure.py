@@ -212,7 +212,7 @@ def citations_to_review(pages: DataFrame, meta: DataFrame) -> DataFrame:
 #: Clauses about the act of a metadata row, by the length of its id; the relation each states, if any.
 _CLAUSES = (
     ("Vu {}, portant organisation", "cite"), ("La présente loi modifie {} sur un point.", "modifie"), ("Est pris en application de {} :", "applique"), ("{} est abrogé.", "abroge"),
-    ("{} est abrogé par la loi n° 2001-044.", None), ("abrogeant partiellement {} ;", "abroge_partiellement"), ("L'article 6 de {} est abrogé.", "abroge_partiellement"),
+    ("{} est abrogé par la loi n° 2003-017.", None), ("abrogeant partiellement {} ;", "abroge_partiellement"), ("L'article 4 de {} est abrogé.", "abroge_partiellement"),
     ("complétant {} et d'autres", "complete"), ("{} est remplacé.", "remplace"), ("Le texte remplace {}.", "remplace"), ("modifiée par {}", None),
 )
 _CLAUSE_ROWS = """select document_id, type, string_split(number, '-')[1] || '-' || case when length(string_split(number, '-')[-1]) < 3 then lpad(string_split(number, '-')[-1], 3, '0') else string_split(number, '-')[-1] end as number,

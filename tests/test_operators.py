@@ -296,11 +296,11 @@ def test_annexed_articles_and_what_stands_around(spark):
 
 def test_relations_active_passive_and_with_an_agent(spark):
     clauses = {
-        "Vu la loi n° 90-32 et Vu le décret n° 91-2": [("cite", "loi"), ("cite", "decret")], "le décret n° 58-2 est abrogé.": [("abroge", "decret")],
-        "le décret n° 58-2 est abrogé par la loi n° 90-032": [], "L'article 6 du décret n° 89-151 est abrogé": [("abroge_partiellement", "decret")],
-        "ABROGE PARTIELLEMENT LA LOI N° 1990-032": [("abroge_partiellement", "loi")], "complétant l'ordonnance n° 69-12": [("complete", "ordonnance")],
-        "pris en application de la loi n° 2015-18": [("applique", "loi")], "la loi n° 98-004, modifiée par la loi n° 2019-40": [],
-        "abroge toutes dispositions antérieures": [], "": [], "Le décret n° 70-1 est remplacé": [("remplace", "decret")], "modifiant la loi n° 2022-09": [("modifie", "loi")],
+        "Vu la loi n° 83-17 et Vu le décret n° 92-6": [("cite", "loi"), ("cite", "decret")], "le décret n° 71-15 est abrogé.": [("abroge", "decret")],
+        "le décret n° 71-15 est abrogé par la loi n° 84-019": [], "L'article 4 du décret n° 88-247 est abrogé": [("abroge_partiellement", "decret")],
+        "ABROGE PARTIELLEMENT LA LOI N° 1984-019": [("abroge_partiellement", "loi")], "complétant l'ordonnance n° 68-33": [("complete", "ordonnance")],
+        "pris en application de la loi n° 2014-25": [("applique", "loi")], "la loi n° 97-311, modifiée par la loi n° 2018-27": [],
+        "abroge toutes dispositions antérieures": [], "": [], "Le décret n° 73-9 est remplacé": [("remplace", "decret")], "modifiant la loi n° 2021-16": [("modifie", "loi")],
     }
     pages = spark.createDataFrame([(str(i), 1, t) for i, t in enumerate(clauses)] + [("x", 1, None)], "document_id string, page int, text string")
     got = {}
