@@ -3,12 +3,12 @@
 Words are counted over all pages, separately for scanned and other ones. A word's stroke key replaces
 every letter by the strokes that a scanner may read differently (rn and m, cl and d, l, 1 and | are
 the same), so words with one key are a few plausible glyph edits apart. Words that only scanned pages
-have are linked to frequent neighbours with the same key. A skip-gram model with negative sampling is trained on a
-bounded sample; the vectors of words that share a stroke key are the sums of the learnt context vectors around them on all
-pages. They decide between several neighbours and on words that are rare but real. Words below the vocabulary have no
-vectors, but their
-counts, and those of their neighbours, are joined to each page that may need them. Then running lines and page numbers
-are taken from head and foot, broken words joined and lines reflowed into paragraphs.
+have are linked to frequent neighbours with the same key. A skip-gram model with negative sampling is trained on the counts
+of all pairs of neighbouring words of all pages; the vectors of words that share a stroke key are the sums of the learnt
+context vectors around them on all pages. They decide between several neighbours and on words that are rare but real. Words
+below the vocabulary have no vectors, but their counts, and those of their neighbours, are joined to each page that may need
+them. Then running lines and page numbers are taken from head and foot, broken words joined and lines reflowed into
+paragraphs.
 """
 
 from __future__ import annotations
@@ -31,9 +31,13 @@ SCANNED = ("ocr", "mixed")
 #: A word belongs to the vocabulary with this share of all words (so it has at most 500,000) and at least MIN_COUNT.
 MIN_SHARE, MIN_COUNT = 2e-6, 3
 DIM, WINDOW = 32, 2
-#: The skip-gram model has the most frequent words as contexts and is trained on about so many words; this bounds one task's
-#: work and memory and is independent of the corpus. Frequent words are thinned out to this share.
-CONTEXTS, SAMPLE_WORDS, SUBSAMPLE = 20_000, 600_000, 1e-3
+#: The skip-gram model has the most frequent words as contexts, which bounds its pairs, and is trained on all of theirs.
+#: Frequent words are thinned out to this share.
+CONTEXTS, SUBSAMPLE, NEGATIVES = 20_000, 1e-3, 5
+#: Each side of the model is fitted so often; a vector is held back with this share of a word's mean weight.
+ROUNDS, RIDGE = 3, 0.03
+#: Words fitted at once, and contexts they are compared with at once; this bounds a task's memory.
+ROWS, COLUMNS = 256, 4096
 #: A neighbour must be so many times more frequent than the word it corrects; for real words the context must
 #: also prefer it by this difference of cosines.
 RATIO, REAL_RATIO, MARGIN = 8.0, 2.0, 0.2
@@ -116,89 +120,158 @@ class Lexicon:
     vectors: np.ndarray | None = None  # one row per contested word
 
 
-def _pairs(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(centre, context) of all known words within the window; -1 is an unknown word."""
-    centres, around = [], []
+def _pair_codes(ids: np.ndarray, size: int) -> np.ndarray:
+    """A number for each pair of known words within the window of which one at least is a context: smaller * size + larger for
+    two contexts, word * size + context for another word; -1 is an unknown word, and contexts are below ``size``."""
+    out = []
     for k in range(1, WINDOW + 1):
-        both = (ids[:-k] >= 0) & (ids[k:] >= 0)
-        left, right = ids[:-k][both], ids[k:][both]
-        centres += [left, right]
-        around += [right, left]
-    return np.concatenate(centres), np.concatenate(around)
-
-
-def skip_gram(ids: np.ndarray, size: int, rounds: int = 3, negatives: int = 5, seed: int = 11) -> np.ndarray:
-    """Context vectors of a skip-gram model with negative sampling, trained on a sequence of word numbers (-1 unknown)."""
-    rng = np.random.default_rng(seed)
-    centre, context = _pairs(ids)
-    inner = ((rng.random((size, DIM)) - 0.5) / DIM).astype(np.float32)
-    outer = np.zeros((size, DIM), np.float32)
-    if not len(centre):
-        return outer
-    counts = np.bincount(ids[ids >= 0], minlength=size).astype(np.float64)
-    # Frequent words are passed over at random, and noise is drawn from the counts to the power of 3/4.
-    share = counts / counts.sum()
-    keep = np.minimum(1, np.sqrt(SUBSAMPLE / np.maximum(share, 1e-12)))
-    noise = np.cumsum(counts**0.75)
-    noise /= noise[-1]
-    batch = 4096
-    for turn in range(rounds):
-        chosen = np.flatnonzero(rng.random(len(centre)) < keep[centre] * keep[context])
-        rng.shuffle(chosen)
-        for at in range(0, len(chosen), batch):
-            pick = chosen[at : at + batch]
-            rate = np.float32(0.05 * (1 - (turn + at / max(1, len(chosen))) / rounds) + 1e-4)
-            c, o = centre[pick], np.concatenate([context[pick][:, None], np.searchsorted(noise, rng.random((len(pick), negatives)))], axis=1)
-            v, u = inner[c], outer[o]
-            wanted = np.zeros(o.shape, np.float32)
-            wanted[:, 0] = 1
-            error = (wanted - 1 / (1 + np.exp(-np.clip(np.einsum("bd,bkd->bk", v, u), -15, 15)))) * rate
-            dv = np.einsum("bk,bkd->bd", error, u)
-            du = error[:, :, None] * v[:, None, :]
-            _add(inner, c, dv)
-            _add(outer, o.ravel(), du.reshape(-1, DIM))
-    return outer
-
-
-def _add(table: np.ndarray, rows: np.ndarray, steps: np.ndarray) -> None:
-    """Adds steps to rows that may be repeated; a row's steps in one batch are bounded, so that frequent words don't run off."""
-    order = np.argsort(rows, kind="stable")
-    at = rows[order]
-    first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-    total = np.add.reduceat(steps[order], first, axis=0)
-    table[at[first]] += np.clip(total, -0.5, 0.5)
-
-
-def _learnt(pages: DataFrame, lexicon: Lexicon, total: int) -> None:
-    """Trains the context vectors on a sample of the pages: every page below a bound of its hash, so that about SAMPLE_WORDS
-    words are read however large the corpus is. Vectors of words come from all pages (``_vectors``)."""
-    count = lexicon.native + lexicon.scanned
-    frequent = np.argsort(-count, kind="stable")[:CONTEXTS]
-    lexicon.contexts = {lexicon.words[i]: k for k, i in enumerate(frequent)}
-    shared = pages.sparkSession.sparkContext.broadcast(lexicon.contexts)
-    share = min(1.0, SAMPLE_WORDS / max(1, total))
-    sample = pages.filter(F.pmod(F.xxhash64(F.lit(5), "body"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("body")
+        low, high = np.minimum(ids[:-k], ids[k:]), np.maximum(ids[:-k], ids[k:])
+        known = (low >= 0) & (low < size)
+        low, high = low[known], high[known]
+        out.append(np.where(high < size, low * size + high, high * size + low))
+    return np.concatenate(out)
+
+
+def _added_up(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    code, count = np.concatenate(codes), np.concatenate(counts)
+    order = np.argsort(code)
+    code = code[order]
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    return code[first], np.add.reduceat(count[order], first)
+
 
-    def number(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pair_counts(pages: DataFrame, numbers: dict[str, int], size: int) -> DataFrame:
+    """(id, context array, n array): how often each context stands around each numbered word on all pages; one row a word."""
+    shared = pages.sparkSession.sparkContext.broadcast(numbers)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, gap = shared.value.get, [-1] * WINDOW
+        codes, counts, held = [], [], 0
         for batch in batches:
-            rows = []
-            for t in batch.column(0).to_pylist():
-                rows.append([shared.value.get(w, -1) for w in words_of(t)] + [-1] * WINDOW)
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int32()))], names=["ids"])
-
-    def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [np.asarray(b.column(0).flatten()) for b in batches]
-        ids = np.concatenate(parts)[: 2 * SAMPLE_WORDS] if parts else np.zeros(0, np.int64)
-        near = skip_gram(ids.astype(np.int64), len(shared.value))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(near)), pa.int32()), pa.array(near.tolist(), pa.list_(pa.float32()))], names=["id", "v"])
-
-    # One task trains on the sample; its pages come in the order of their hashes, so the result is the same on any cluster.
-    numbered = sample.select("body", F.xxhash64(F.lit(6), "body").alias("h")).repartition(1).sortWithinPartitions("h", "body").select("body")
-    rows = numbered.mapInArrow(number, "ids array<int>").mapInArrow(train, "id int, v array<float>").collect()  # CONTEXTS rows
-    lexicon.near = np.zeros((len(lexicon.contexts), DIM), np.float32)
-    for r in rows:
-        lexicon.near[r.id] = r.v
-    lexicon.near -= lexicon.near.mean(0) if len(rows) else 0
+            for block in blocks(batch, "body", 1_000_000):
+                ids: list[int] = []
+                for t in block.column(0).to_pylist():
+                    if t:
+                        ids += [number(w, -1) for w in words_of(t)]
+                        ids += gap
+                code, count = np.unique(_pair_codes(np.array(ids, np.int64), size), return_counts=True)
+                codes.append(code)
+                counts.append(count)
+                held += len(code)
+                if held > 4_000_000:
+                    code, count = _added_up(codes, counts)
+                    codes, counts, held = [code], [count], len(code)
+                    if held > 2_000_000:  # hand over what has gathered
+                        yield _emit(codes, counts)
+                        codes, counts, held = [], [], 0
+        if held:
+            yield _emit(codes, counts)
+
+    def _emit(codes: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in _added_up(codes, counts)], names=["code", "n"])
+
+    counted = pages.select("body").mapInArrow(run, "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    a, b = (F.expr(f"cast(code {op} {max(1, size)} as int)") for op in ("div", "%"))
+    counted = counted.select(a.alias("a"), b.alias("b"), "n")
+    # Two contexts stand around each other; a word beside itself does so twice.
+    both = F.when(F.col("a") >= size, F.expr("array(struct(a as id, b as context, n))")).otherwise(F.expr("array(struct(a as id, b as context, n), struct(b as id, a as context, n))"))
+    directed = counted.select(F.explode(both).alias("p")).groupBy("p.id").agg(F.collect_list(F.struct("p.context", "p.n")).alias("around"))
+    rows = directed.select("id", F.col("around.context").alias("context"), F.col("around.n").alias("n"))
+    return stage(rows.repartition(-(-max(1, len(numbers)) // ROWS), F.expr(f"id div {ROWS}")).sortWithinPartitions("id"), "word-pairs")
+
+
+_UPPER = np.triu_indices(DIM)
+
+
+def newton_step(own: np.ndarray, other: np.ndarray, seen: np.ndarray, mass: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """One Newton step of the vectors ``own`` towards the best ones given ``other`` in a skip-gram model with negative sampling:
+    ``seen`` are the weights of the pairs, mass x share those of the negatives, of which nothing is drawn: each pair has its
+    expected number of them."""
+    slope, bend = -RIDGE * own, np.zeros((len(own), len(_UPPER[0])), np.float32)
+    for at in range(0, len(other), COLUMNS):
+        o, hit = other[at : at + COLUMNS], seen[:, at : at + COLUMNS]
+        p = 1 / (1 + np.exp(-np.clip(own @ o.T, -30, 30)))
+        every = hit + mass[:, None] * share[None, at : at + COLUMNS]
+        slope += (hit - every * p) @ o
+        bend += (every * p * (1 - p)) @ (o[:, _UPPER[0]] * o[:, _UPPER[1]])
+    matrix = np.empty((len(own), DIM, DIM))
+    matrix[:, _UPPER[0], _UPPER[1]] = matrix[:, _UPPER[1], _UPPER[0]] = bend
+    step = np.linalg.solve(matrix + RIDGE * np.eye(DIM), slope[:, :, None].astype(np.float64))[:, :, 0]
+    length = np.linalg.norm(step, axis=1, keepdims=True)
+    return (own + step * np.minimum(1, 3 / np.maximum(length, 1e-9))).astype(np.float32)
+
+
+def _blocks_of_rows(batches: Iterable[pa.RecordBatch], keep: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(ids, weights) of ROWS neighbouring ids at most; the weights have a column for each context and are thinned out."""
+
+    def dense(rows: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        out = np.zeros((len(rows), len(keep)), np.float32)
+        for line, (i, context, n) in zip(out, rows):
+            np.add.at(line, context, n * keep[context] * keep[i])
+        return np.array([r[0] for r in rows], np.int64), out
+
+    rows: list[tuple[int, np.ndarray, np.ndarray]] = []
+    for batch in batches:
+        for i, context, n in zip(*batch.columns):
+            i = i.as_py()
+            if rows and (rows[-1][0] // ROWS != i // ROWS or len(rows) == ROWS):
+                yield dense(rows)
+                rows = []
+            rows.append((i, context.values.to_numpy(), n.values.to_numpy()))
+    if rows:
+        yield dense(rows)
+
+
+def _learnt(pairs: DataFrame, lexicon: Lexicon, frequent: np.ndarray) -> None:
+    """Trains the context vectors on the counts of all pairs: words and contexts are fitted in turn, each given the other side
+    only, so a step is a map over rows of words and hands over one vector for each of CONTEXTS words at most."""
+    size, spark = len(frequent), pairs.sparkSession
+    lexicon.near = np.zeros((size, DIM), np.float32)
+    pairs = pairs.filter(F.col("id") < size)
+    count = (lexicon.native + lexicon.scanned)[frequent].astype(np.float64)
+    keep = np.minimum(1, np.sqrt(SUBSAMPLE * count.sum() / count)).astype(np.float32)
+    # Negatives are as likely as the counts to the power of 3/4.
+    chance = (count**0.75 / (count**0.75).sum()).astype(np.float32)
+
+    def mapped(of_block, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, float rows) of of_block(ids, weights) over all blocks."""
+
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, seen in _blocks_of_rows(batches, keep):
+                yield pa.RecordBatch.from_arrays([pa.array([ids.tobytes()]), pa.array([of_block(ids, seen).astype(np.float32).tobytes()])], names=["ids", "v"])
+
+        rows = pairs.mapInArrow(run, "ids binary, v binary").collect()
+        ids = np.concatenate([np.frombuffer(r.ids, np.int64) for r in rows]) if rows else np.zeros(0, np.int64)
+        return ids, np.concatenate([np.frombuffer(r.v, np.float32) for r in rows]).reshape(-1, width) if rows else np.zeros((0, width), np.float32)
+
+    met, sums = mapped(lambda ids, seen: seen.sum(axis=1, dtype=np.float64), 1)
+    if not len(met):
+        return
+    mass = np.zeros(size, np.float32)
+    mass[met] = sums[:, 0]
+    mean = float(sums.mean(dtype=np.float64))
+    mass /= mean
+    rng = np.random.default_rng(11)
+    words, contexts = np.zeros((size, DIM), np.float32), (rng.random((size, DIM)) - 0.5).astype(np.float32)
+    contexts[mass == 0] = 0
+
+    def fitted(own: np.ndarray, other: np.ndarray, side: np.ndarray, across: np.ndarray) -> np.ndarray:
+        shared = spark.sparkContext.broadcast((own, other, side, across))
+
+        def of_block(ids: np.ndarray, seen: np.ndarray) -> np.ndarray:
+            own, other, side, across = shared.value
+            return newton_step(own[ids], other, seen / np.float32(mean), side[ids], across)
+
+        ids, rows = mapped(of_block, DIM)
+        shared.unpersist()
+        out = own.copy()
+        out[ids] = rows
+        return out
+
+    for _ in range(ROUNDS):
+        words = fitted(words, contexts, NEGATIVES * mass, chance)
+        contexts = fitted(contexts, words, NEGATIVES * chance, mass)
+    lexicon.near = contexts - contexts.mean(0)
 
 
 def _contested(lexicon: Lexicon) -> dict[str, int]:
@@ -210,34 +283,24 @@ def _contested(lexicon: Lexicon) -> dict[str, int]:
     return {w: i for i, w in enumerate(sorted(w for ws in by_key.values() if len(ws) > 1 for w in ws))}
 
 
-def _vectors(df: DataFrame, lexicon: Lexicon) -> np.ndarray:
+def _vectors(pairs: DataFrame, lexicon: Lexicon, numbers: dict[str, int]) -> np.ndarray:
     """Summed context vectors of every contested word over all pages. They are added as whole numbers, so that the sums don't
-    depend on their order; a task hands over one row for each contested word it met."""
-    shared = df.sparkSession.sparkContext.broadcast(lexicon)
+    depend on their order."""
+    place = {numbers[w]: i for w, i in lexicon.contested.items()}
+    shared = pairs.sparkSession.sparkContext.broadcast((place, np.round(lexicon.near * 1000).astype(np.int64)))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex: Lexicon = shared.value
-        n = len(lex.contested)
-        near = np.vstack([np.round(lex.near * 1000).astype(np.int64), np.zeros((1, DIM), np.int64)])
-        total, met = np.zeros((n, DIM), np.int64), np.zeros(n, np.int64)
-        wanted = lex.contested.keys()
+        place, near = shared.value
         for batch in batches:
-            for block in blocks(batch, "body", 1_000_000):
-                for t in block.column(0).to_pylist():
-                    words = words_of(t) if t else []
-                    if wanted.isdisjoint(words):
-                        continue
-                    for at, w in enumerate(words):
-                        if (i := lex.contested.get(w)) is not None:
-                            met[i] += 1
-                            for v in (*words[max(0, at - WINDOW) : at], *words[at + 1 : at + 1 + WINDOW]):
-                                total[i] += near[lex.contexts.get(v, -1)]
-        used = np.flatnonzero(met)
-        yield pa.RecordBatch.from_arrays([pa.array(used), *(pa.array(total[used, k]) for k in range(DIM))], names=["id", *(f"v{k}" for k in range(DIM))])
-
-    schema = "id bigint, " + ", ".join(f"v{k} bigint" for k in range(DIM))
-    sums = df.select("body").mapInArrow(run, schema).groupBy("id").agg(*(F.sum(f"v{k}").alias(f"v{k}") for k in range(DIM)))
-    rows = sums.toPandas()  # one row per contested word of the vocabulary
+            ids, total = [], []
+            for i, context, n in zip(*batch.columns):
+                if (at := place.get(i.as_py())) is not None:
+                    ids.append(at)
+                    total.append(n.values.to_numpy() @ near[context.values.to_numpy()])
+            sums = np.array(total, np.int64).reshape(-1, DIM)
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array(sums[:, k]) for k in range(DIM))], names=["id", *(f"v{k}" for k in range(DIM))])
+
+    rows = pairs.mapInArrow(run, "id bigint, " + ", ".join(f"v{k} bigint" for k in range(DIM))).toPandas()  # one row per contested word of the vocabulary
     out = np.zeros((len(lexicon.contested), DIM), np.float64)
     if len(rows):
         out[rows["id"].to_numpy()] = rows.drop(columns="id").to_numpy(np.float64)
@@ -254,9 +317,15 @@ def learn(pages: DataFrame) -> tuple[Lexicon, DataFrame]:
     counts = counts.filter(F.col("word").rlike("\\p{L}"))
     rows = counts.filter(F.col("native") + F.col("scanned") >= least).orderBy("word").toPandas()
     lexicon = Lexicon(rows["word"].tolist(), rows["native"].to_numpy(np.int64), rows["scanned"].to_numpy(np.int64), least)
-    _learnt(pages, lexicon, total)
     lexicon.contested = _contested(lexicon)
-    lexicon.vectors = _vectors(pages, lexicon)
+    frequent = np.argsort(-(lexicon.native + lexicon.scanned), kind="stable")[:CONTEXTS]
+    lexicon.contexts = {lexicon.words[i]: k for k, i in enumerate(frequent)}
+    numbers = dict(lexicon.contexts)
+    for w in lexicon.contested:
+        numbers.setdefault(w, len(numbers))
+    pairs = _pair_counts(pages, numbers, len(frequent))
+    _learnt(pairs, lexicon, frequent)
+    lexicon.vectors = _vectors(pairs, lexicon, numbers)
     return lexicon, counts.filter(F.col("native") + F.col("scanned") < least)
 
 

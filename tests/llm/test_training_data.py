@@ -2,7 +2,9 @@
 
 import random
 import time
+from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,32 @@ def test_words_below_the_vocabulary_count(spark):
     assert out == {"a": ("mot conte mot", []), "b": ("mot tribunal mot", ["misread"]), "c": ("mot avant-projet mot", [])}
 
 
+def test_context_vectors_learn_from_every_page(spark):
+    # 1.5 million words; each of the other pages has words of its own, which only those who read that page can learn.
+    letters = "abcdefghij"
+    own = ["".join(letters[int(d)] for d in f"{i:03}") for i in range(200)]
+    pages = [("mot texte " * 25_000, False)] * 30 + [(f"mot alpha{w} beta{w} texte " * 4, False) for w in own]
+    lexicon = scans.learn(frame(spark, pages, "body string, scanned boolean"))[0]
+    near = np.array([lexicon.near[lexicon.contexts[f"alpha{w}"]] for w in own])
+    assert len(np.unique(near.round(6), axis=0)) == len(own)
+
+
+def test_pairs_of_words_against_plain_python(spark):
+    texts = ["le conseil adresse le le conte", "conte", "le inconnu conte coute\nadresse", "", None] * 3
+    numbers = {"le": 0, "conseil": 1, "adresse": 2, "conte": 3, "coute": 4}
+    expected = Counter()
+    for words in (scans.words_of(t or "") for t in texts):
+        for at, w in enumerate(words):
+            for other in words[max(0, at - scans.WINDOW) : at] + words[at + 1 : at + 1 + scans.WINDOW]:
+                if w in numbers and numbers.get(other, 9) < 3:
+                    expected[numbers[w], numbers[other]] += 1
+    found = Counter()
+    for r in scans._pair_counts(frame(spark, [(t,) for t in texts], "body string").repartition(3), numbers, 3).collect():
+        for context, n in zip(r.context, r.n):
+            found[r.id, context] += n
+    assert found == expected
+
+
 def test_running_lines_behind_a_page_number(spark):
     body = ["Le conseil adresse la demande de contrôle", "Une taxe annuelle est perçue au profit du fonds", "Le ministre est chargé du présent texte"]
     heads = ["BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES - {} -", "- {} - BULLETIN DES ACTES PUBLIÉS — ARCHIVES NATIONALES"]
